@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream, watermark, event-time window or stateful
+operator; its "window" is a fixed reporting period over tables.  Nothing
+here is built, by design (see README, "Not built").
+"""
