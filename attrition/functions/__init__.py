@@ -2,9 +2,9 @@
 
 from attrition.functions.dates import as_col, calendar_months, in_period, months_30day, parse_date
 from attrition.functions.flags import flag, membership_flag
-from attrition.functions.ratios import relative_change, safe_ratio
+from attrition.functions.ratios import exact_avg, relative_change, safe_ratio
 
 __all__ = [
     "as_col", "calendar_months", "in_period", "months_30day", "parse_date",
-    "flag", "membership_flag", "relative_change", "safe_ratio",
+    "flag", "membership_flag", "exact_avg", "relative_change", "safe_ratio",
 ]

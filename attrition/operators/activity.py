@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.functions import in_period, relative_change
+from attrition.functions import exact_avg, in_period, relative_change
 from attrition.sources.schema import THEME_CANCELLATION
 
 RECENT = 3      # months in the "last" band
@@ -31,7 +31,7 @@ def agg_billing(facturation: DataFrame, start: dt.date, ref: dt.date) -> DataFra
     return f.groupBy("client_id").agg(
         F.count(F.lit(1)).alias("nb_factures"),
         F.sum("montant").alias("total_charges"),
-        (F.sum("montant").cast("double") / F.count("montant")).alias("montant_moyen_facture"),
+        exact_avg(F.col("montant")).alias("montant_moyen_facture"),
         F.count_if(F.col("paye_a_temps") == 0).alias("nb_retards_paiement"),
         F.count_if(F.col("paye_a_temps") == 1).alias("nb_paiements_a_temps"),
     )
@@ -86,7 +86,7 @@ def usage_trend(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
     bands = usage_ranked(usage, start, ref, limit=RECENT * BANDS).groupBy("client_id").agg(
         F.avg(F.when(last, F.col("nb_connexions"))).alias("connexions_3derniers_mois"),
         F.avg(F.when(prev, F.col("nb_connexions"))).alias("connexions_3mois_avant"),
-        F.avg(F.when(last, F.col("volume_data_go"))).alias("volume_go_3derniers_mois"),
+        exact_avg(F.when(last, F.col("volume_data_go"))).alias("volume_go_3derniers_mois"),
     )
     return totals.join(bands, "client_id")
 
