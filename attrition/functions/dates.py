@@ -34,7 +34,7 @@ def months_30day(start, end) -> Column:
 def parse_date(text, fmt: str = "yyyy-MM-dd", strict: bool = True) -> Column:
     """ISO string -> date.  ``strict`` raises on bad input (ANSI); otherwise null."""
     c = as_col(text)
-    return F.to_date(c, fmt) if strict else F.try_to_date(c, F.lit(fmt))
+    return F.to_date(c, fmt) if strict else F.try_to_date(c, fmt)
 
 
 def in_period(c: Column, start: dt.date, end: dt.date) -> Column:

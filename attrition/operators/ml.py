@@ -214,7 +214,7 @@ def build_pipeline(roles: FrameRoles, reg_param: float, max_iter: int = MAX_ITER
     stages = [
         StringIndexer(inputCols=list(roles.categorical), outputCols=idx_cols,
                       handleInvalid="keep", stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=idx_cols, outputCols=ohe_cols, dropLast=True, handleInvalid="keep"),
+        OneHotEncoder(inputCols=idx_cols, outputCols=ohe_cols, dropLast=True),
         VectorAssembler(inputCols=list(roles.numeric) + ohe_cols, outputCol="features",
                         handleInvalid="keep"),
         LogisticRegression(featuresCol="features", labelCol=LABEL, weightCol="weight",
