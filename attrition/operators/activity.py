@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.functions import exact_avg, in_period, relative_change
+from attrition.operators.ranking import ordered_position
 from attrition.sources.schema import THEME_CANCELLATION
 
 RECENT = 3      # months in the "last" band
@@ -56,13 +57,18 @@ def _month_rank(order: str = "desc") -> Window:
 def usage_ranked(usage: DataFrame, start: dt.date, ref: dt.date, limit: int | None = None) -> DataFrame:
     """Usage rows in the period with ``rn_mois`` = 1 for the most recent month.
 
-    With ``limit`` the filter ``rn_mois <= limit`` is applied, which Spark
-    turns into a partial top-k (``WindowGroupLimit``) before the shuffle.
+    With ``limit`` only ranks up to ``limit`` are kept: ``row_number() <=
+    limit`` becomes a partial top-k (``WindowGroupLimit``) before the shuffle,
+    so at most ``limit`` rows per client and map task move.  Without a limit
+    every row keeps its rank, computed by ``ordered_position`` so that a
+    client holding a third of all rows is spread over many tasks.
     """
-    u = usage.filter(in_period(F.col("mois"), start, ref)).withColumn(
-        "rn_mois", F.row_number().over(_month_rank("desc"))
-    )
-    return u if limit is None else u.filter(F.col("rn_mois") <= limit)
+    u = usage.filter(in_period(F.col("mois"), start, ref))
+    if limit is None:
+        ranked = ordered_position(u, [F.col("mois").desc(), F.col("usage_id").desc()],
+                                  group=["client_id"], name="rn_mois")
+        return ranked.withColumn("rn_mois", (F.col("rn_mois") + 1).cast("int"))
+    return u.withColumn("rn_mois", F.row_number().over(_month_rank("desc"))).filter(F.col("rn_mois") <= limit)
 
 
 def usage_trend(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
@@ -96,37 +102,17 @@ def reverse_rank(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
 
     ``rn`` = position in (``mois``, ``usage_id``) order starting at 0;
     ``rn_max`` = the client's largest position; ``reverse_rn`` = ``rn_max -
-    rn`` (0 for the latest month).
-
-    Written in two levels so no single task ever holds a whole client:
-    1. rows per (client, month) by a partial hash aggregate, then a running
-       sum over the client's months -- that window sees one row per distinct
-       month in the period, a bound set by the calendar, not by the data;
-    2. the position inside one (client, month) by ``row_number`` over that
-       finer key.
-    The position is the sum of the two.
+    rn`` (0 for the latest month).  The positions come from
+    ``ordered_position``, so a client (or a single client-month) holding a
+    third of all rows is spread over many tasks instead of one.
     """
-    u = usage.filter(in_period(F.col("mois"), start, ref))
-    months = u.groupBy("client_id", "mois").agg(F.count(F.lit(1)).alias("n_month"))
-    by_month = Window.partitionBy("client_id").orderBy("mois")
-    months = months.select(
-        "client_id",
-        "mois",
-        F.coalesce(
-            F.sum("n_month").over(by_month.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("before"),
-        (F.sum("n_month").over(Window.partitionBy("client_id")) - 1).alias("rn_max"),
-    )
-    inside = Window.partitionBy("client_id", "mois").orderBy("usage_id")
-    rows = u.select("client_id", "mois", "usage_id", "nb_connexions", F.row_number().over(inside).alias("pos"))
-    return rows.join(months, ["client_id", "mois"]).select(
-        "client_id",
-        "mois",
-        "usage_id",
-        "nb_connexions",
-        (F.col("before") + F.col("pos") - 1).alias("rn"),
-        "rn_max",
-        (F.col("rn_max") - F.col("before") - F.col("pos") + 1).alias("reverse_rn"),
+    u = usage.filter(in_period(F.col("mois"), start, ref)).select(
+        "client_id", "mois", "usage_id", "nb_connexions")
+    ranked = ordered_position(u, ["mois", "usage_id"], group=["client_id"], name="rn", group_size="_n")
+    return ranked.select(
+        "client_id", "mois", "usage_id", "nb_connexions", "rn",
+        (F.col("_n") - 1).alias("rn_max"),
+        (F.col("_n") - 1 - F.col("rn")).alias("reverse_rn"),
     )
 
 

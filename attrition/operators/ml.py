@@ -67,6 +67,8 @@ def model_frame(features: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------- K2 vocabulary / K3 one-hot
+MAX_BROADCAST_VOCAB = 200_000   # vocabulary rows allowed in a broadcast lookup
+
 def category_vocab(frame: DataFrame, categorical: tuple[str, ...]) -> DataFrame:
     """Sorted distinct non-null values per categorical column with their index.
 
@@ -119,8 +121,12 @@ def one_hot_slots(frame: DataFrame, roles: FrameRoles) -> DataFrame:
             for c in roles.categorical
         ])).alias("fc"),
     ).select(KEY, "fc.feature", "fc.category").where(F.col("category").isNotNull())
-    # the vocabulary side holds one row per category: bounded by the model
-    return values.join(F.broadcast(slots), ["feature", "category"]).select(KEY, "column_name", "slot")
+    # A few categories cover most rows (a join on them is maximally skewed),
+    # so the vocabulary is broadcast -- after checking its size.  Beyond the
+    # limit the join stays a shuffle join and AQE splits the hot categories.
+    n_slots = slots.count()
+    lookup = F.broadcast(slots) if n_slots <= MAX_BROADCAST_VOCAB else slots
+    return values.join(lookup, ["feature", "category"]).select(KEY, "column_name", "slot")
 
 
 # ------------------------------------------------------- K5 stratified split

@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.session import cut_lineage
+from attrition.operators.ranking import ordered_position
 from attrition.sources.schema import DOMAINS, TableContract
 
 
@@ -132,35 +132,8 @@ def conform(df: DataFrame, contract: TableContract, null_as_default: bool = Fals
 
 # ----------------------------------------------------------- A7 surrogate key
 def surrogate_key(df: DataFrame, order: list[str], name: str = "surrogate_id") -> DataFrame:
-    """Dense 1..n key following ``order``, computed without a global window.
-
-    1. range-partition and sort on ``order`` (sampled bounds, many tasks);
-    2. tag each row with its partition and in-partition position
-       (``monotonically_increasing_id`` counts rows in sorted order), then
-       checkpoint into the shared checkpoint folder so the tags are stable;
-    3. count rows per partition (one row per partition), turn the counts
-       into offsets, and add the offset to each in-partition position.
-    Rows equal on every ``order`` column are interchangeable, so the output
-    is deterministic up to such ties.
-    """
-    tagged = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    tagged = cut_lineage(tagged)
-    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: bounded by the partition count, not by the data
-    offsets = per_part.select(
-        "_pid",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_off"),
-    )
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, F.col("_off") + local + 1)
-        .drop("_pid", "_mid", "_off")
-    )
+    """Dense 1..n key following ``order``, without a global window: the rank
+    is computed range partition by range partition (see
+    ``attrition.operators.ranking``).  Rows equal on every ``order`` column are
+    interchangeable, so the output is deterministic up to such ties."""
+    return ordered_position(df, order, name=name).withColumn(name, F.col(name) + 1)
