@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from attrition.session import cut_lineage
 from attrition.sources.schema import NON_FEATURE_COLUMNS, TARGET
 
 KEY = "client_id"
@@ -69,22 +70,23 @@ def model_frame(features: DataFrame) -> DataFrame:
 # ---------------------------------------------------- K2 vocabulary / K3 one-hot
 MAX_BROADCAST_VOCAB = 200_000   # vocabulary rows allowed in a broadcast lookup
 
+def _category_pairs(frame: DataFrame, categorical: tuple[str, ...]) -> DataFrame:
+    """(key, feature, category) for every non-null categorical value, one scan."""
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category")) for c in categorical
+    ])).alias("fc")
+    return frame.select(KEY, pairs).select(KEY, "fc.feature", "fc.category").where(F.col("category").isNotNull())
+
+
 def category_vocab(frame: DataFrame, categorical: tuple[str, ...]) -> DataFrame:
     """Sorted distinct non-null values per categorical column with their index.
 
-    One distinct per column (partial aggregate), then a rank inside each
-    column's own vocabulary -- a window over the vocabulary, not the data.
+    One scan: every (column, value) pair is exploded, de-duplicated by a
+    partial aggregate, then ranked inside each column's own vocabulary -- a
+    window over the vocabulary, not the data.
     """
-    parts = [
-        frame.select(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"))
-        .where(F.col(c).isNotNull()).distinct()
-        for c in categorical
-    ]
-    vocab = parts[0]
-    for p in parts[1:]:
-        vocab = vocab.unionByName(p)
-    order = {c: i for i, c in enumerate(categorical)}
-    pos = F.create_map(*[x for c, i in order.items() for x in (F.lit(c), F.lit(i))])
+    vocab = _category_pairs(frame, categorical).select("feature", "category").distinct()
+    pos = F.create_map(*[x for i, c in enumerate(categorical) for x in (F.lit(c), F.lit(i))])
     w = Window.partitionBy("feature").orderBy("category")
     return vocab.select(
         "feature",
@@ -101,7 +103,9 @@ def one_hot_slots(frame: DataFrame, roles: FrameRoles) -> DataFrame:
     then each column's categories in vocabulary order.  Unknown or null
     values have no row (an all-zero block), as with ``handle_unknown='ignore'``.
     """
-    vocab = category_vocab(frame, roles.categorical)
+    # the vocabulary is small (one row per category): materialise it once so
+    # its size check and the lookup below do not rescan the frame
+    vocab = cut_lineage(category_vocab(frame, roles.categorical))
     sizes = vocab.groupBy("feature", "feature_pos").agg(F.count(F.lit(1)).alias("size"))
     offsets = sizes.select(
         "feature",
@@ -114,17 +118,11 @@ def one_hot_slots(frame: DataFrame, roles: FrameRoles) -> DataFrame:
         "feature", "category", (F.col("offset") + F.col("idx")).alias("slot"),
         F.concat_ws("_", "feature", "category").alias("column_name"),
     )
-    values = frame.select(
-        KEY,
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category"))
-            for c in roles.categorical
-        ])).alias("fc"),
-    ).select(KEY, "fc.feature", "fc.category").where(F.col("category").isNotNull())
+    values = _category_pairs(frame, roles.categorical)
     # A few categories cover most rows (a join on them is maximally skewed),
     # so the vocabulary is broadcast -- after checking its size.  Beyond the
     # limit the join stays a shuffle join and AQE splits the hot categories.
-    n_slots = slots.count()
+    n_slots = vocab.count()
     lookup = F.broadcast(slots) if n_slots <= MAX_BROADCAST_VOCAB else slots
     return values.join(lookup, ["feature", "category"]).select(KEY, "column_name", "slot")
 
@@ -137,15 +135,14 @@ def split_hash(key: Column, seed: int = SEED) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
 
 
-def class_quotas(frame: DataFrame, label: str = LABEL, test_size: float = TEST_SIZE) -> DataFrame:
-    """Per class: ``n_c`` and its test quota.
+def quotas_from_counts(counts: DataFrame, label: str = LABEL, test_size: float = TEST_SIZE) -> DataFrame:
+    """Per class: ``n_c`` and its test quota, from a (label, n_c) table.
 
     ``n_test = ceil(test_size * n)`` (double arithmetic), shared out by
     largest remainder of ``n_c * n_test / n``; equal remainders go to the
     smaller class label first.  The class table has one row per class, so
     the global windows below run over a handful of rows.
     """
-    counts = frame.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
     everything = Window.partitionBy()
     n = F.sum("n_c").over(everything)
     q = counts.select(label, "n_c", n.alias("n"), F.ceil(F.lit(float(test_size)) * n).cast("long").alias("n_test"))
@@ -159,6 +156,11 @@ def class_quotas(frame: DataFrame, label: str = LABEL, test_size: float = TEST_S
     )
 
 
+def class_quotas(frame: DataFrame, label: str = LABEL, test_size: float = TEST_SIZE) -> DataFrame:
+    counts = frame.groupBy(label).agg(F.count(F.lit(1)).alias("n_c"))
+    return quotas_from_counts(counts, label, test_size)
+
+
 def stratified_split(frame: DataFrame, label: str = LABEL, key: str = KEY, seed: int = SEED,
                      test_size: float = TEST_SIZE) -> DataFrame:
     """Exact stratified hold-out: per class, the ``n_test_c`` rows first in
@@ -169,14 +171,18 @@ def stratified_split(frame: DataFrame, label: str = LABEL, key: str = KEY, seed:
     digits of the hash (uniform, so buckets are balanced whatever the key
     distribution), bucket sizes give each bucket's offset (a window over at
     most 16**4 rows per class), and ``row_number`` runs inside a bucket only.
+    The bucket-size table (at most classes x 16**4 rows) is materialised
+    once; class counts and quotas come from it, so the frame is scanned
+    twice in all (sizes, then ranks).
     """
     h = split_hash(F.col(key), seed)
     tagged = frame.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, HASH_PREFIX))
-    sizes = tagged.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = cut_lineage(tagged.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n")))
     before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(label, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    counts = sizes.groupBy(label).agg(F.sum("_n").alias("n_c"))
+    quotas = quotas_from_counts(counts, label, test_size).select(label, "n_test_c")
     inside = Window.partitionBy(label, "_b").orderBy("_h", key)
-    quotas = class_quotas(frame, label, test_size).select(label, "n_test_c")
     ranked = (
         tagged.withColumn("_pos", F.row_number().over(inside))
         # offsets: at most (classes x 16**4) rows; quotas: one row per class
@@ -267,8 +273,10 @@ def predictions(model: PipelineModel, frame: DataFrame) -> DataFrame:
 # -------------------------------------------------------------- K9-K11 metrics
 def confusion_counts(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
     """Dense k x k confusion counts over the labels seen in truth or prediction."""
-    counts = pred.groupBy(F.col(label).alias("truth"), F.col(prediction).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n"))
+    # the only pass over the data; the k x k result is materialised so the
+    # grid, the report and the averages below never rescan the predictions
+    counts = cut_lineage(pred.groupBy(F.col(label).alias("truth"), F.col(prediction).alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n")))
     seen = counts.select(F.col("truth").alias("v")).union(counts.select(F.col("predicted").alias("v")))
     grid = (
         seen.agg(F.sort_array(F.collect_set("v")).alias("vs"))   # at most k values

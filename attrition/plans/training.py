@@ -34,7 +34,11 @@ class TrainingResult:
 
 
 def prepare(features: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, ml.FrameRoles]:
+    """Model frame (checkpointed: the split reads it twice) and the split
+    (checkpointed: the fit reads it once per iteration)."""
     frame = ml.model_frame(features)
+    if checkpoint:
+        frame = cut_lineage(frame)
     roles = ml.column_roles(frame, drop=(ml.KEY, ml.LABEL))
     split = ml.stratified_split(frame)
     return (cut_lineage(split) if checkpoint else split), roles
