@@ -389,6 +389,11 @@ def q_stratified_split(spark, sf):
     return ml.stratified_split(_model_frame(spark, sf)).select("client_id", "label", "split")
 
 
+@register("split_summary", oracle.split_summary())
+def q_split_summary(spark, sf):
+    return summary.split_summary(ml.stratified_split(_model_frame(spark, sf)))
+
+
 @register("class_weights", oracle.class_weights())
 def q_class_weights(spark, sf):
     split = ml.stratified_split(_model_frame(spark, sf))
@@ -435,6 +440,12 @@ def q_predict_lr(spark, sf):
     return training.train_and_evaluate(_features(spark, sf)).predictions
 
 
+@register("evaluate_lr")
+def q_evaluate_lr(spark, sf):
+    """Classification report of the fitted model on the held-out rows."""
+    return training.train_and_evaluate(_features(spark, sf)).report
+
+
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf):
     result = training.train_and_evaluate(_features(spark, sf))

@@ -67,3 +67,18 @@ def test_last_nonnull_per_column(spark):
 
 def test_key_type_parameter():
     assert contracts(T.LongType())["clients"].schema["client_id"].dataType == T.LongType()
+
+
+def test_csv_with_bom_and_roundtrip(spark, tmp_path):
+    from attrition.sources import files
+    p = tmp_path / "bom"
+    p.mkdir()
+    (p / "part-0.csv").write_text("client_id,date_inscription,montant\nC1,2024-01-31,12.50\nC2,,\n",
+                                  encoding="utf-8-sig")
+    schema = T.StructType([T.StructField("client_id", T.StringType()), T.StructField("date_inscription", T.DateType()),
+                           T.StructField("montant", T.DecimalType(10, 2))])
+    rows = files.read_csv(spark, str(p), schema).orderBy("client_id").collect()
+    assert rows[0].client_id == "C1" and rows[0].date_inscription == D("2024-01-31")
+    assert str(rows[0].montant) == "12.50" and rows[1].date_inscription is None and rows[1].montant is None
+    out = files.write_csv(spark.createDataFrame(rows, schema), files.shared_dir(spark, "t"))
+    assert sorted(files.read_csv(spark, out, schema).collect()) == sorted(rows)
