@@ -79,3 +79,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of facts.
+
+    * scans: splits of ``target_partition_bytes`` so every core gets work
+      and a task's input stays well under executor memory;
+    * shuffles: enough initial partitions that the largest shuffle (the
+      fact-to-order join of the raw lines) lands near the target size per
+      partition; AQE then coalesces the small post-aggregation shuffles and
+      splits skewed join partitions (a partition counts as skewed above
+      5x the median and 4x the advisory size).
+    Pass the result as ``extra_conf`` to ``get_spark`` or set it on the
+    session before building the plans.
+    """
+    partitions = max(total_cores * 3, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }
