@@ -20,6 +20,7 @@ from attrition.functions import membership_flag, parse_date, relative_change, sa
 from attrition.operators import activity, ml, quality, subscriptions
 from attrition.plans import features as feat
 from attrition.plans import summary, training
+from attrition.plans.features_sql import features_sql
 from attrition.sources import catalogue as cat
 from attrition.sources import files
 from attrition.sources.schema import DOMAINS, EXPORT_COLUMNS, TABLES, contracts
@@ -66,6 +67,12 @@ def q_features_onerow(spark, sf):
     return feat.features_onerow(load_tables(spark, sf), REF, START, ordered=True)
 
 
+@register("features_sql", oracle.features_onerow())
+def q_features_sql(spark, sf):
+    """The flagship as one Spark SQL text with named period parameters."""
+    return features_sql(spark, load_tables(spark, sf), REF, START)
+
+
 @register("export_profile", oracle.features_export())
 def q_export_profile(spark, sf):
     return feat.export_profile(_features(spark, sf)).orderBy("client_id")
