@@ -119,11 +119,8 @@ def build_features(
         last3 = F.coalesce(F.col("connexions_3derniers_mois"), F.lit(0.0))
         prev3 = F.coalesce(F.col("connexions_3mois_avant"), F.lit(0.0))
         evolution = relative_change(F.col("connexions_3derniers_mois"), F.col("connexions_3mois_avant"))
-    if options.no_contact_rate == 0.0:
-        # the script zero-fills first, so the later fill with 1 never acts
-        rate = F.coalesce(F.col("taux_resolution_satisfaisante"), F.lit(0.0))
-    else:
-        rate = F.coalesce(F.col("taux_resolution_satisfaisante"), F.lit(float(options.no_contact_rate)))
+    # the script rule is 0.0: it zero-fills every gap before its fill with 1
+    rate = F.coalesce(F.col("taux_resolution_satisfaisante"), F.lit(float(options.no_contact_rate)))
 
     out = joined.select(
         *CLIENT_COLUMNS,

@@ -25,6 +25,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # drop reliable-checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
