@@ -65,3 +65,11 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def train_from_csv(spark, path: str, key_type=None, **kwargs) -> TrainingResult:
+    """Dataset file -> split, fit, predict, metrics (the training script's flow)."""
+    from pyspark.sql import types as T
+
+    from attrition.plans.dataset import read_dataset
+    return train_and_evaluate(read_dataset(spark, path, key_type or T.StringType()), **kwargs)

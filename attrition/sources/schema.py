@@ -3,8 +3,8 @@
 Types follow the relational definition: ``VARCHAR`` -> string, ``SMALLINT``
 -> short, ``INTEGER`` -> int, ``DECIMAL(10,2)`` -> decimal(10,2), ``DATE`` ->
 date, ``SERIAL`` -> long, ``TIMESTAMP`` (no time zone) -> timestamp_ntz.
-Keys are ``client_id`` everywhere, so every fact can be laid out (bucketed or
-hash-partitioned) on the same column and joined without re-shuffling.
+Every fact carries ``client_id``, so each reduces to one row per client and
+the per-client results join on that one key.
 """
 
 from __future__ import annotations
@@ -199,3 +199,18 @@ EXPORT_COLUMNS = (
 # model frame: target and the columns left out of the feature vector
 TARGET = "churn"
 NON_FEATURE_COLUMNS = ("churn", "client_id", "date_inscription")
+
+
+def export_schema(key_type: T.DataType = T.StringType()) -> T.StructType:
+    """Types of the 25-column export, for reading an exported CSV back without inference."""
+    types = {
+        "client_id": key_type, "date_inscription": T.DateType(), "senior_citizen": T.ShortType(),
+        "tenure_mois": T.IntegerType(), "charges_mensuelles": MONEY, "nb_factures": T.LongType(),
+        "total_charges": T.DecimalType(20, 2), "nb_retards_paiement": T.LongType(),
+        "ratio_retards_paiement": T.DoubleType(), "nb_interactions_support": T.LongType(),
+        "nb_contacts_resiliation": T.LongType(), "taux_resolution_support": T.DoubleType(),
+        "total_connexions_12_mois": T.LongType(), "connexions_moy_3derniers_mois": T.DoubleType(),
+        "connexions_moy_3mois_avant": T.DoubleType(), "total_volume_go_12_mois": T.DecimalType(20, 2),
+        "evolution_connexions_ratio": T.DoubleType(), "churn": T.IntegerType(),
+    }
+    return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in EXPORT_COLUMNS])

@@ -124,3 +124,16 @@ def test_coefficients_named(trained):
     coef = ml.coefficients(trained.model, trained.roles, trained.split)
     terms = [r.term for r in coef.collect()]
     assert terms[0] == "intercept" and "tenure_mois" in terms and any(t.startswith("genre_") for t in terms)
+
+
+def test_export_then_train_from_csv(spark):
+    from pyspark.sql import types as T
+
+    from attrition.plans.dataset import export_dataset, read_dataset
+    from attrition.sources.schema import EXPORT_COLUMNS
+    path = shared_dir(spark, "dataset")
+    summary = export_dataset(load_tables(spark, SF), path, TEST_REF, TEST_START).first()
+    back = read_dataset(spark, path, T.LongType())
+    assert back.columns == list(EXPORT_COLUMNS) and back.count() == summary.n_rows
+    result = training.train_from_csv(spark, path, key_type=T.LongType())
+    assert result.report.count() == 5
