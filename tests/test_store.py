@@ -17,3 +17,17 @@ def test_saved_layout_same_features_and_pruned(spark):
     plan = activity.agg_billing(saved["facturation"], TEST_START, TEST_REF)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_facture" in plan and "2000-01-01" in plan
+
+
+def test_source_tables_are_lazy_and_share_reads(spark):
+    tables = load_tables(spark, SF)
+    fact = tables["facturation"]
+    # only the driver tables this source needs were read, each once
+    assert sorted(tables._raw) == ["lineitem", "orders"]
+    assert tables["facturation"] is fact
+    tables["usage_mensuel"]
+    tables["abonnements"]
+    assert sorted(tables._raw) == ["lineitem", "orders"]
+    assert sorted(tables) == sorted(store.PARTITION_BY)
+    # sharing one relation across branches still plans and runs (self-join dedup)
+    assert feat.features_onerow(tables, TEST_REF, TEST_START).count() > 0
