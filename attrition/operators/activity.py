@@ -117,12 +117,18 @@ def reverse_rank(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
 
 
 def usage_trend_outer(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
-    """Script form of the trend: band averages from the reverse rank, full
-    outer merges, zero fill.  Equal to ``usage_trend`` (the previous band's
-    clients are a subset of the last band's); kept as its own operator.
+    """Script form of the trend: band averages from the reverse position,
+    full outer merges, zero fill.  Equal to ``usage_trend`` (the previous
+    band's clients are a subset of the last band's); kept as its own operator.
+
+    Only reverse positions below 6 are used, and ``reverse_rn < k`` is "among
+    the k latest in (``mois``, ``usage_id``) order".  So the positions come
+    from the partial top-6 of ``usage_ranked`` (``reverse_rn = rn_mois - 1``)
+    rather than from the full ``reverse_rank``.  No range shuffle or
+    checkpoint of the whole usage table is needed.
     """
-    ranked = reverse_rank(usage, start, ref)
-    rr = F.col("reverse_rn")
+    ranked = usage_ranked(usage, start, ref, limit=RECENT * BANDS)
+    rr = F.col("rn_mois") - 1
     last = ranked.filter(rr < RECENT).groupBy("client_id").agg(
         F.avg("nb_connexions").alias("connexions_moy_3derniers_mois"))
     prev = ranked.filter((rr >= RECENT) & (rr < RECENT * BANDS)).groupBy("client_id").agg(
