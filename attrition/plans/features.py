@@ -53,7 +53,7 @@ class FeatureOptions:
 
 
 SCRIPT_OPTIONS = FeatureOptions(
-    tenure_mode="days30", keep_future=True, lookup="left", pick="row",
+    tenure_mode="days30", keep_future=True, lookup="left", pick="last_nonnull",
     no_contact_rate=0.0, trend_form="outer",
 )
 
@@ -172,8 +172,9 @@ def features_script_variant(
     start: dt.date = REFERENCE_START,
     label_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Script rules (30-day tenure, left product lookup, future subscriptions
-    kept, zero resolution rate without contact, outer-merge trend)."""
+    """Script rules (30-day tenure, last non-null value per subscription
+    column, left product lookup, future subscriptions kept, zero resolution
+    rate without contact, outer-merge trend)."""
     return build_features(tables, ref, start, options=SCRIPT_OPTIONS, label_ids=label_ids)
 
 

@@ -89,3 +89,22 @@ def test_trend_forms_agree(tables):
     cols = ["client_id", "connexions_moy_3derniers_mois", "connexions_moy_3mois_avant",
             "evolution_connexions_ratio", "total_connexions_12_mois"]
     assert sorted(map(tuple, bands.select(cols).collect())) == sorted(map(tuple, outer.select(cols).collect()))
+
+
+def test_script_variant_takes_last_nonnull_per_column(spark, tables):
+    """The script keeps, per column, the last non-null value in start-date
+    order; the SQL rule drops the unknown-product row and keeps a whole row."""
+    cols = [("abonnement_id", "long"), ("client_id", "string"), ("produit_id", "string"),
+            ("date_debut", "date"), ("date_fin", "date"), ("tarif_mensuel", "decimal(10,2)"),
+            ("type_contrat", "string"), ("statut", "string")]
+    extra = golden._frame(spark, "abonnements", cols, [
+        (20, "C6", "P2", golden.D("2023-03-01"), golden.D("2023-09-01"), Decimal("20"), "1_an", "résilié"),
+        (21, "C6", None, golden.D("2024-02-01"), None, Decimal("22"), "Mensuel", "actif"),
+    ])
+    t = dict(tables, abonnements=tables["abonnements"].unionByName(extra))
+    script = _rows(feat.features_script_variant(t, golden.REF, golden.START))["C6"]
+    assert (script["categorie_produit"], script["type_contrat"], script["charges_mensuelles"],
+            script["tenure_mois"], script["churn"]) == ("Mobile", "Mensuel", Decimal("22.00"), 11, 0)
+    sql = _rows(feat.features_onerow(t, golden.REF, golden.START))["C6"]
+    assert (sql["categorie_produit"], sql["type_contrat"], sql["charges_mensuelles"],
+            sql["tenure_mois"], sql["churn"]) == ("Mobile", "1_an", Decimal("20.00"), 21, 0)
