@@ -57,3 +57,16 @@ def test_pruned_columns(flagship_plan):
     # lineitem is read with only the columns the query needs
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_returnflag:string,l_shipdate" \
         in flagship_plan
+
+
+def test_script_variant_bands_use_partial_top_k(spark):
+    """The script-rule trend needs only the six latest months: partial top-k,
+    no range exchange and no checkpointed full ranking of the usage table."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(entry.queries()["features_script_variant"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "rangepartitioning" not in plan
+    assert "ExistingRDD" not in plan          # no checkpointed input
+    assert plan.count("WindowGroupLimit") >= 2
