@@ -63,3 +63,15 @@ def load_tables(spark: SparkSession, location: str, schemas: Mapping[str, object
             df = df.select(*[f.name for f in schemas[name].fields])
         out[name] = df
     return out
+
+
+def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
+    """Expose the six tables as session temporary views under their own names.
+
+    SQL written against the relational tables (``FROM abonnements a JOIN
+    produits p ...``) then runs unchanged through ``spark.sql``.  Views are
+    plans, not copies: nothing is read or materialized here.
+    """
+    for name in TABLES:
+        tables[name].createOrReplaceTempView(name)
+    return list(TABLES)

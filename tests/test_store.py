@@ -31,3 +31,16 @@ def test_source_tables_are_lazy_and_share_reads(spark):
     assert sorted(tables) == sorted(store.PARTITION_BY)
     # sharing one relation across branches still plans and runs (self-join dedup)
     assert feat.features_onerow(tables, TEST_REF, TEST_START).count() > 0
+
+
+def test_views_run_sql_written_for_the_tables(spark):
+    tables = load_tables(spark, SF)
+    assert store.register_views(tables) == list(store.PARTITION_BY)
+    got = spark.sql(
+        """SELECT f.client_id, COUNT(*) AS nb_factures, SUM(f.montant) AS total_charges
+           FROM facturation f
+           WHERE f.date_facture BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'
+           GROUP BY f.client_id""")
+    want = activity.agg_billing(tables["facturation"], TEST_START, TEST_REF).select(
+        "client_id", "nb_factures", "total_charges")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
