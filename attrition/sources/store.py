@@ -11,8 +11,9 @@ primary key).  This stands in for the relational indexes on ``client_id``
 (and ``(client_id, mois)`` for usage): Parquet keeps min/max statistics per
 row group, so a filter on a client reads only the row groups whose range
 holds it.  The date directory plus the client statistics give the
-``(client_id, mois)`` lookup.  No index is kept for the two-valued status
-column, where it would prune nothing.
+``(client_id, mois)`` lookup.  The two dimensions are written ordered by
+their primary key.  No index is kept for the two-valued status column,
+where it would prune nothing.
 
 Not bucketed on ``client_id`` on purpose: every ``client_id`` shuffle in the
 feature plan carries partially aggregated rows (one per client per task),
@@ -58,9 +59,9 @@ def save_tables(tables: Mapping[str, DataFrame], location: str) -> str:
         df = tables[name]
         part = PARTITION_BY[name]
         path = f"{location.rstrip('/')}/{name}"
-        if part:
-            keys = [part, CLUSTER_BY, PRIMARY_KEYS[name]]
-            df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        # dimensions: ordered by their key (the primary-key index)
+        keys = [part, CLUSTER_BY, PRIMARY_KEYS[name]] if part else [PRIMARY_KEYS[name]]
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
         writer = df.write.mode("overwrite")
         if part:
             writer = writer.partitionBy(part)

@@ -71,6 +71,9 @@ def test_saved_facts_are_clustered_by_client(spark):
         for path in files:
             ids = pq.read_table(path, columns=["client_id"]).column("client_id").to_pylist()
             assert ids == sorted(ids), path
+    for path in glob.glob(f"{loc.removeprefix('file:')}/clients/*.parquet"):
+        ids = pq.read_table(path, columns=["client_id"]).column("client_id").to_pylist()
+        assert ids == sorted(ids), path
     saved = store.load_tables(spark, loc)
     plan = saved["facturation"].filter("client_id = 7")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(client_id), EqualTo(client_id,7)]" in plan
