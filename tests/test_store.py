@@ -17,6 +17,21 @@ def test_saved_layout_same_features_and_pruned(spark):
     plan = activity.agg_billing(saved["facturation"], TEST_START, TEST_REF)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_facture" in plan and "2000-01-01" in plan
+    # on stored tables the flagship has only its own exchanges: one per input
+    # on client_id (one more pair for the product lookup) and the final order
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagship = feat.features_onerow(saved, TEST_REF, TEST_START)._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "orderkey" not in flagship
+    assert flagship.count("Exchange hashpartitioning(client_id") == 6
+    assert flagship.count("Exchange hashpartitioning(produit_id") == 2
+    assert flagship.count("Exchange rangepartitioning(client_id") == 1
+    assert flagship.count("Exchange ") == 9
 
 
 def test_source_tables_are_lazy_and_share_reads(spark):
