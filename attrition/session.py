@@ -59,8 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting one only where none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests) a scratch folder
-    is created.
+    as is.  Only a local-mode session with nothing configured (tests) gets a
+    scratch folder.  A cluster session without one fails here: a
+    machine-local folder there would leave each executor's checkpoint files
+    on its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,6 +70,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a folder every "
+                "executor can reach (a distributed file system or object store)")
         configured = tempfile.mkdtemp(prefix="attrition-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
