@@ -210,6 +210,24 @@ def with_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     return train.join(F.broadcast(class_weights(train, label).select(label, "weight")), label)
 
 
+def weight_column(train: DataFrame, label: str = LABEL) -> tuple[Column, float]:
+    """The balanced weight as a column expression, plus the total weight.
+
+    The class table (one row per class: bounded by the model, not the data)
+    is collected once.  The weight then becomes a ``CASE`` on the label, so
+    every later pass over the training rows (indexer fit, solver caching)
+    reads them without recounting the classes.  Total weight = sum over
+    classes of ``n_c * weight``.
+    """
+    rows = class_weights(train, label).collect()
+    weight = None
+    for r in rows:
+        hit = F.col(label) == F.lit(r[label])
+        weight = F.when(hit, F.lit(r["weight"])) if weight is None else weight.when(hit, F.lit(r["weight"]))
+    total = sum(r["n_c"] * r["weight"] for r in rows)
+    return weight, total
+
+
 # --------------------------------------------------------- K2-K4, K7 pipeline
 def build_pipeline(roles: FrameRoles, reg_param: float, max_iter: int = MAX_ITER,
                    tol: float = 1e-7) -> Pipeline:
@@ -244,8 +262,8 @@ def feature_pipeline(roles: FrameRoles) -> Pipeline:
 
 def fit_model(train: DataFrame, roles: FrameRoles, c: float = C, max_iter: int = MAX_ITER) -> PipelineModel:
     """Fit the whole pipeline on the training rows only (no leakage)."""
-    weighted = with_weights(train)
-    total_weight = weighted.agg(F.sum("weight")).first()[0]
+    weight, total_weight = weight_column(train)
+    weighted = train.withColumn("weight", weight)
     return build_pipeline(roles, reg_param=1.0 / (c * total_weight), max_iter=max_iter).fit(weighted)
 
 
