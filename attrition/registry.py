@@ -21,6 +21,7 @@ from attrition.operators import activity, ml, quality, subscriptions
 from attrition.plans import features as feat
 from attrition.plans import summary, training
 from attrition.plans.features_sql import features_sql
+from attrition.session import cut_lineage
 from attrition.sources import catalogue as cat
 from attrition.sources import files
 from attrition.sources.schema import DOMAINS, EXPORT_COLUMNS, TABLES, contracts
@@ -391,20 +392,25 @@ def q_one_hot_columns(spark, sf):
     return ml.one_hot_slots(frame, ml.column_roles(frame, drop=(ml.KEY, ml.LABEL)))
 
 
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    # the split reads its frame twice (bucket sizes, then ranks): materialize
+    # the one-row-per-client frame once instead of running the feature plan twice
+    return ml.stratified_split(cut_lineage(_model_frame(spark, sf)))
+
+
 @register("stratified_split", oracle.stratified_split())
 def q_stratified_split(spark, sf):
-    return ml.stratified_split(_model_frame(spark, sf)).select("client_id", "label", "split")
+    return _split(spark, sf).select("client_id", "label", "split")
 
 
 @register("split_summary", oracle.split_summary())
 def q_split_summary(spark, sf):
-    return summary.split_summary(ml.stratified_split(_model_frame(spark, sf)))
+    return summary.split_summary(_split(spark, sf))
 
 
 @register("class_weights", oracle.class_weights())
 def q_class_weights(spark, sf):
-    split = ml.stratified_split(_model_frame(spark, sf))
-    return ml.class_weights(split.filter("split = 'train'"))
+    return ml.class_weights(_split(spark, sf).filter("split = 'train'"))
 
 
 @register("score_linear", oracle.score_linear(ml.FIXED_SCORE))
