@@ -102,6 +102,7 @@ def one_hot_slots(frame: DataFrame, roles: FrameRoles) -> DataFrame:
     ``slot`` is the position in the assembled vector: numeric columns first,
     then each column's categories in vocabulary order.  Unknown or null
     values have no row (an all-zero block), as with ``handle_unknown='ignore'``.
+    The frame is read twice (vocabulary, then values): pass a materialized one.
     """
     # the vocabulary is small (one row per category): materialise it once so
     # its size check and the lookup below do not rescan the frame
@@ -173,7 +174,8 @@ def stratified_split(frame: DataFrame, label: str = LABEL, key: str = KEY, seed:
     most 16**4 rows per class), and ``row_number`` runs inside a bucket only.
     The bucket-size table (at most classes x 16**4 rows) is materialised
     once; class counts and quotas come from it, so the frame is scanned
-    twice in all (sizes, then ranks).
+    twice in all (sizes, then ranks).  Pass a materialized frame (a
+    checkpoint or a written table) so that the plan behind it runs once.
     """
     h = split_hash(F.col(key), seed)
     tagged = frame.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, HASH_PREFIX))

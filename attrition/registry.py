@@ -388,7 +388,8 @@ def q_category_vocab(spark, sf):
 
 @register("one_hot_columns", oracle.one_hot_columns())
 def q_one_hot_columns(spark, sf):
-    frame = _model_frame(spark, sf)
+    # two passes over the frame (vocabulary, then values): materialize it once
+    frame = cut_lineage(_model_frame(spark, sf))
     return ml.one_hot_slots(frame, ml.column_roles(frame, drop=(ml.KEY, ml.LABEL)))
 
 
@@ -435,7 +436,8 @@ def q_classification_report(spark, sf):
 
 @register("feature_vector")
 def q_feature_vector(spark, sf):
-    frame = _model_frame(spark, sf)
+    # two passes over the frame (indexer fit, then transform): materialize it once
+    frame = cut_lineage(_model_frame(spark, sf))
     roles = ml.column_roles(frame, drop=(ml.KEY, ml.LABEL))
     assembled = ml.feature_pipeline(roles).fit(frame).transform(frame)
     from pyspark.ml.functions import vector_to_array
