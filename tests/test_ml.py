@@ -137,3 +137,15 @@ def test_export_then_train_from_csv(spark):
     assert back.columns == list(EXPORT_COLUMNS) and back.count() == summary.n_rows
     result = training.train_from_csv(spark, path, key_type=T.LongType())
     assert result.report.count() == 5
+
+
+def test_weight_column_matches_joined_weights(spark):
+    rows = [(i, float(i % 7 == 0)) for i in range(700)]
+    train = spark.createDataFrame(rows, "client_id long, label double")
+    weight, total = ml.weight_column(train)
+    a = sorted(train.withColumn("weight", weight).select("client_id", "weight").collect())
+    b = sorted(ml.with_weights(train).select("client_id", "weight").collect())
+    assert a == b
+    assert total == pytest.approx(700.0)         # balanced weights sum to n
+    w = {r.label: r.weight for r in ml.class_weights(train).collect()}
+    assert w[1.0] == pytest.approx(700 / (2 * 100)) and w[0.0] == pytest.approx(700 / (2 * 600))
