@@ -70,3 +70,20 @@ def test_script_variant_bands_use_partial_top_k(spark):
     assert "rangepartitioning" not in plan
     assert "ExistingRDD" not in plan          # no checkpointed input
     assert plan.count("WindowGroupLimit") >= 2
+
+
+SQL_QUERIES = sorted(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", SQL_QUERIES + ["feature_vector"])
+def test_every_query_plan_is_distributed(spark, name):
+    """No Cartesian product, no nested-loop join, no Python evaluation in any
+    registered query's plan (static plan, AQE off)."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(entry.queries()[name](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                "FlatMapGroupsInPandas", "MapInPandas"):
+        assert bad not in plan, (name, bad)
