@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import bpe, packing
+from attrition.llm import bpe, packing, repair, token_counts
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLE: dict[str, str] = {}
@@ -63,3 +63,18 @@ def op1_bpe(spark, sf_dir):
 def op6_packing(spark, sf_dir):
     """Every document in windows of 1024 tokens."""
     return packing.pack(_documents(spark, sf_dir), public_tokenizers.path(MODEL), keep_ids=False).drop("ids")
+
+
+@register
+def op10_repair(spark, sf_dir):
+    """Every document written to Re-Pair shards in id order, and read back."""
+    path = repair.write_shards(_documents(spark, sf_dir), repair.fresh_path(spark), public_tokenizers.path(MODEL))
+    return repair.read_shards(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register
+def op4_token_counts(spark, sf_dir):
+    """Flat token files of all documents, scanned for the end id; counts by document."""
+    blocks, manifest = token_counts.write_flat(_documents(spark, sf_dir), public_tokenizers.path(MODEL))
+    return token_counts.count_tokens(blocks).join(manifest, ["file", "doc"]).select(
+        "doc_id", "file", "doc", "start", "n_tokens")
