@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import bpe, packing, repair, token_counts
+from attrition.llm import bpe, exact, packing, repair, sharding, token_counts
+from attrition.llm.common import unsigned_crc32
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLE: dict[str, str] = {}
@@ -78,3 +79,30 @@ def op4_token_counts(spark, sf_dir):
     blocks, manifest = token_counts.write_flat(_documents(spark, sf_dir), public_tokenizers.path(MODEL))
     return token_counts.count_tokens(blocks).join(manifest, ["file", "doc"]).select(
         "doc_id", "file", "doc", "start", "n_tokens")
+
+
+@register
+def op8_exact_dedup(spark, sf_dir):
+    """Groups of equal texts over all documents."""
+    docs = _documents(spark, sf_dir).withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return exact.duplicates(docs, carry=("text_sha256",)).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+_ORACLE["op8_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
+"""
+
+N_SHARDS = 40
+
+
+@register
+def op2_sharding(spark, sf_dir):
+    """All documents in 40 shards of equal row counts."""
+    rows = sharding.shard(_documents(spark, sf_dir), N_SHARDS, seed=20)
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+                       unsigned_crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
