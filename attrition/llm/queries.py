@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import bpe, exact, packing, repair, sharding, token_counts
+from attrition.llm import bpe, exact, langid, packing, repair, sharding, simhash, token_counts
 from attrition.llm.common import unsigned_crc32
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,33 @@ def op2_sharding(spark, sf_dir):
     return rows.select("doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
                        unsigned_crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _next_likeness(ids: list, texts: list[str], following: list[str]) -> list:
+    edited = [t[:len(t) - len(t) // 2] + f[:len(t) // 2] for t, f in zip(texts, following, strict=True)]
+    own, other, after = (simhash.fingerprint_texts(x) for x in (texts, edited, following))
+    return [ids, [len(t) for t in texts], [hashlib.sha256(e.encode()).hexdigest() for e in edited],
+            simhash.hexadecimal(own), simhash.hexadecimal(other), simhash.likeness(own, other),
+            simhash.likeness(own, after)]
+
+
+@register
+def op7_simhash(spark, sf_dir):
+    """Fingerprints of every document and of its text with the second half taken from the next one."""
+    return simhash.map_with_next(_documents(spark, sf_dir), _next_likeness, [
+        ("doc_id", pa.int64(), "bigint"), ("n_chars", pa.int64(), "bigint"), ("edited_sha256", pa.string(), "string"),
+        ("fingerprint", pa.string(), "string"), ("edited_fingerprint", pa.string(), "string"),
+        ("near_edited", pa.float64(), "double"), ("near_next", pa.float64(), "double")])
+
+
+@register
+def op9_language_id(spark, sf_dir):
+    """Language of every page from its text, its markup's declaration, its address suffix and its host."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    model = langid.train(_documents(spark, sf_dir))
+    url, html = F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    body = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " "), r"<[^>]*>", " ")
+    return langid.identify(
+        pages, model, "page_id", text=body, declared=F.regexp_extract(html, r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]+)", 1),
+        suffix=F.regexp_extract(host, r"([^.]+)$", 1), host=host, domain=F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1))
