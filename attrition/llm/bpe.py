@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +26,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import (id_and_text, pack_planes, shuffle_partitions, spans_index, stored, text_chunks,
-                                  unpack_planes)
+from attrition.llm.common import (id_and_text, pack_planes, shuffle_partitions, spans_index, stored_by_key,
+                                  text_chunks, unpack_planes)
 from attrition.llm.pieces import split
 
-CHUNK_CHARS = 1 << 21
-BLOCK_CHARS = 32 << 20
+CHUNK_CHARS = 1 << 20
+BLOCK_CHARS = 12 << 20
 
 BLOCK_SCHEMA = ("block string, ids array<bigint>, pieces array<int>, sequence binary, buckets binary, "
                 "words array<struct<bucket:int, words:binary>>")
@@ -64,7 +63,6 @@ class _Block:
         self.index: dict[int, int] = {}
         self.words: list[str] = []
         self.bucket_of: list[int] = []
-        self.counts: Counter = Counter()
         self.ids: list = []
         self.pieces: list[int] = []
         self.parts: list[np.ndarray] = []
@@ -77,8 +75,7 @@ class _Block:
         self.chars += len(parts.text)
         if not len(parts.starts):
             return
-        distinct, first, inverse, count = np.unique(
-            parts.hashes(), return_index=True, return_inverse=True, return_counts=True)
+        distinct, first, inverse = np.unique(parts.hashes(), return_index=True, return_inverse=True)
         place = np.empty(len(distinct), np.int64)
         for k, h in enumerate(distinct.tolist()):
             at = self.index.get(h)
@@ -87,23 +84,20 @@ class _Block:
                 self.words.append(parts.piece(first[k]))
                 self.bucket_of.append(h % n_buckets)
             place[k] = at
-        self.counts.update(dict(zip(place.tolist(), count.tolist(), strict=True)))
         self.parts.append(place[inverse].astype(np.int32))
 
     def row(self, n_buckets: int) -> dict:
         n = len(self.words)
-        freq = np.zeros(n, np.int64)
-        freq[list(self.counts)] = list(self.counts.values())
-        by_freq = np.argsort(-freq, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[by_freq] = np.arange(n)
+        places = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
+        by_freq = np.argsort(-np.bincount(places, minlength=n), kind="stable")
+        rank = np.empty(n, np.uint32)
+        rank[by_freq] = np.arange(n, dtype=np.uint32)
         bucket = np.array(self.bucket_of, np.int64)[by_freq] if n else np.zeros(0, np.int64)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
         words = [{"bucket": b, "words": _pack_words([self.words[by_freq[k]] for k in order[cuts[b]:cuts[b + 1]]])}
                  for b in range(n_buckets) if cuts[b] < cuts[b + 1]]
-        sequence = rank[np.concatenate(self.parts)] if self.parts else np.zeros(0, np.int64)
-        return {"block": uuid.uuid4().hex, "ids": self.ids, "pieces": self.pieces, "sequence": pack_planes(sequence),
+        return {"block": uuid.uuid4().hex, "ids": self.ids, "pieces": self.pieces, "sequence": pack_planes(rank[places]),
                 "buckets": pack_planes(bucket), "words": words}
 
 
@@ -187,13 +181,16 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
            n_buckets: int | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per input row: ``id_col`` and ``tokens`` (little-endian unsigned 32-bit ids).
 
+    The blocks are written once, bucketed by block, so only the answers are
+    shuffled to meet them.
+
     ``n_buckets`` is the number of word buckets; a bucket holds its distinct
     words in memory, so raise it with the vocabulary (default: the session's
     shuffle partitions, 64 at least).
     """
     n_buckets = n_buckets or max(64, shuffle_partitions(df.sparkSession))
-    blocks = stored(id_and_text(df, id_col, text_col).mapInArrow(
-        _block_batches(n_buckets, block_chars), BLOCK_SCHEMA), "bpe_blocks")
+    blocks = stored_by_key(id_and_text(df, id_col, text_col).mapInArrow(
+        _block_batches(n_buckets, block_chars), BLOCK_SCHEMA), "bpe_blocks", "block", n_buckets)
     answers = (blocks.select("block", F.explode("words").alias("w")).select("block", "w.bucket", "w.words")
                .repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
                .mapInArrow(_encode_buckets(ranks_path, pattern),

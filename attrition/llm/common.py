@@ -28,6 +28,16 @@ def stored(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by_key(df: DataFrame, name: str, key: str, n: int) -> DataFrame:
+    """As :func:`stored`, as a table in ``n`` buckets of ``key``: a join on ``key``
+    then moves the other side only."""
+    spark = df.sparkSession
+    path = shared_dir(spark, "llm", name)
+    table = f"llm_{name}_{path.rsplit('/', 1)[-1]}"
+    df.write.options(compression="zstd", path=path).bucketBy(n, key).saveAsTable(table)
+    return spark.table(table)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -51,13 +61,15 @@ def text_chunks(batches: Iterator[pa.RecordBatch], max_chars: int) -> Iterator[t
     texts: list[str] = []
     size = 0
     for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if texts and size + len(t) > max_chars:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-            ids.append(i)
-            texts.append(t)
-            size += len(t)
+        for at in range(0, batch.num_rows, 256):  # few Python strings at a time
+            part = batch.slice(at, 256)
+            for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                if texts and size + len(t) > max_chars:
+                    yield ids, texts
+                    ids, texts, size = [], [], 0
+                ids.append(i)
+                texts.append(t)
+                size += len(t)
     if texts:
         yield ids, texts
 
