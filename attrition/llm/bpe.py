@@ -168,18 +168,17 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             while lo < len(row["ids"]):  # a few documents at a time
                 hi = max(lo + 1, int(np.searchsorted(pieces, pieces[lo] + CHUNK_CHARS, "right")) - 1)
                 seq = sequence[pieces[lo]:pieces[hi]]
-                flat = tokens[spans_index(starts[seq], sizes[seq])].astype("<u4")
+                flat = tokens[spans_index(starts[seq], sizes[seq])].astype(np.int32)
                 ends = np.append(0, np.cumsum(sizes[seq]))[pieces[lo:hi + 1] - pieces[lo]]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["ids"][lo:hi], pa.int64()),
-                     pa.array([flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())],
-                    names=["_id", "tokens"])
+                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))], names=["_id", "tokens"])
                 lo = hi
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            n_buckets: int | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """One row per input row: ``id_col`` and ``tokens`` (little-endian unsigned 32-bit ids).
+    """One row per input row: ``id_col`` and ``tokens`` (array of ids).
 
     The blocks are written once, bucketed by block, so only the answers are
     shuffled to meet them.
@@ -197,7 +196,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                            "block string, bucket int, sizes binary, tokens binary")
                .groupBy("block").agg(F.collect_list(F.struct("bucket", "sizes", "tokens")).alias("answers")))
     return (blocks.drop("words").join(answers, "block", "left")
-            .mapInArrow(_assemble, "_id bigint, tokens binary")
+            .mapInArrow(_assemble, "_id bigint, tokens array<int>")
             .withColumnRenamed("_id", id_col))
 
 
@@ -211,12 +210,15 @@ def _decode_batches(ranks_path: str):
         data = np.frombuffer(b"".join(table), np.uint8)
         starts = np.cumsum(sizes) - sizes
         for batch in batches:
-            texts = []
-            for blob in batch.column(1).to_pylist():
-                ids = np.frombuffer(blob or b"", "<u4")
-                texts.append(data[spans_index(starts[ids], sizes[ids])].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())],
-                                             names=["_id", "tokens", "decoded"])
+            lists = batch.column(1)
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            width = sizes[ids]
+            text = data[spans_index(starts[ids], width)]
+            ends = np.append(0, np.cumsum(width))[np.append(0, np.cumsum(counts))]
+            decoded = pa.Array.from_buffers(pa.large_binary(), len(counts), [
+                None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(text)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, decoded], names=["_id", "tokens", "decoded"])
     return run
 
 
@@ -228,5 +230,5 @@ def decode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", tokens_col: s
     decode to no bytes.
     """
     rows = df.select(F.col(id_col).alias("_id"), F.col(tokens_col).alias("tokens"))
-    return rows.mapInArrow(_decode_batches(ranks_path), "_id bigint, tokens binary, decoded binary").withColumnRenamed(
+    return rows.mapInArrow(_decode_batches(ranks_path), "_id bigint, tokens array<int>, decoded binary").withColumnRenamed(
         "_id", id_col)

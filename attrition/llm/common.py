@@ -42,8 +42,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of whole texts by size, not by the 10,000 rows that suit numbers
+    (settings that the session already has stay)."""
+    for key, default, value in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "", str(16 << 20))):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key, default) in (default, str(2**63 - 1), str(2**31 - 1), "-1", "64MB", str(64 << 20)):
+            spark.conf.set(key, value)
+
+
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator works on, under names of its own (null text: empty)."""
+    bound_batches(df.sparkSession)
     return df.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 

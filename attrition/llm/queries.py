@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,27 +36,15 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def _token_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    numerals = [str(i) for i in range(1 << 16)]
-    for batch in batches:
-        counts, digests = [], []
-        for blob in batch.column(1).to_pylist():
-            ids = np.frombuffer(blob, "<u4").tolist()
-            counts.append(len(ids))
-            digests.append(hashlib.sha256(" ".join([numerals[i] for i in ids]).encode()).hexdigest())
-        decoded = [hashlib.sha256(x).hexdigest() for x in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
 @register
 def op1_bpe(spark, sf_dir):
     """Every document encoded and decoded again; digests of both."""
     ranks = public_tokenizers.path(RANKS)
     tokens = bpe.encode(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(tokens, ranks).mapInArrow(
-        _token_digest, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return bpe.decode(tokens, ranks).select(
+        "doc_id", F.size("tokens").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("tokens").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @register
