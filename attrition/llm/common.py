@@ -45,10 +45,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of whole texts by size, not by the 10,000 rows that suit numbers
     (settings that the session already has stay)."""
-    for key, default, value in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "", str(16 << 20))):
-        key = f"spark.sql.execution.arrow.{key}"
-        if spark.conf.get(key, default) in (default, str(2**63 - 1), str(2**31 - 1), "-1", "64MB", str(64 << 20)):
-            spark.conf.set(key, value)
+    for name, usual, value in (("maxRecordsPerBatch", 10_000, 2_000), ("maxBytesPerBatch", 64 << 20, 16 << 20)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if int(spark.conf.get(key).rstrip("b")) == usual:
+            spark.conf.set(key, str(value))
 
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
