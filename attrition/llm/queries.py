@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import bpe, exact, langid, packing, repair, sharding, simhash, token_counts
+from attrition.llm import bpe, exact, jaccard, langid, packing, repair, sharding, simhash, token_counts
 from attrition.llm.common import unsigned_crc32
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,10 @@ def op9_language_id(spark, sf_dir):
     return langid.identify(
         pages, model, "page_id", text=body, declared=F.regexp_extract(html, r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]+)", 1),
         suffix=F.regexp_extract(host, r"([^.]+)$", 1), host=host, domain=F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1))
+
+
+@register
+def op3_jaccard_join(spark, sf_dir):
+    """Components of documents whose sets of three-word shingles have a Jaccard similarity of 0.9 or more."""
+    return jaccard.join(_documents(spark, sf_dir), width=3, num=9, den=10).select(
+        "doc_id", "n_shingles", "component_id")
