@@ -84,6 +84,47 @@ def text_chunks(batches: Iterator[pa.RecordBatch], max_chars: int) -> Iterator[t
         yield ids, texts
 
 
+def in_blocks(rows: DataFrame, key: str, most: int, by: str = "_id") -> DataFrame:
+    """``rows`` of keys with two rows at least, with the pair of blocks (lo, hi) each goes to.
+
+    A key with up to ``most`` rows is one block; one with more is dealt into blocks by a hash
+    of ``by``, and every row goes to the pairs that hold its block.
+    """
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
+    blocks = F.ceil(F.col("_size") / most).cast("int")
+    return (rows.join(sizes, key).withColumn("_own", F.pmod(F.xxhash64(by), blocks).cast("int"))
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .withColumns({"lo": F.least("_own", "_other"), "hi": F.greatest("_own", "_other")})
+            .withColumn("second", (F.col("lo") != F.col("hi")) & (F.col("_own") == F.col("hi")))
+            .drop("_size", "_own", "_other"))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key_columns: int) -> Iterator[pa.Table]:
+    """Tables of whole groups: consecutive rows that agree in the first columns stay together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(key_columns)]
+        changes = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        if held:
+            last = held[-1]
+            same = all(last.column(k)[-1] == batch.column(k)[0] for k in range(key_columns))
+            if not same:
+                yield pa.Table.from_batches(held)
+                held = []
+            elif len(changes):
+                held.append(batch.slice(0, changes[0]))
+                yield pa.Table.from_batches(held)
+                held, batch, changes = [], batch.slice(changes[0]), changes[1:] - changes[0]
+        if len(changes):
+            yield pa.Table.from_batches([batch.slice(0, changes[-1])])
+            batch = batch.slice(changes[-1])
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def spans_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start+1, ... of every span, one after the other."""
     total = int(lengths.sum())

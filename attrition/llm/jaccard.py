@@ -37,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import U64, id_and_text, mix, shuffle_partitions, stored, text_chunks
+from attrition.llm.common import (U64, id_and_text, in_blocks, mix, shuffle_partitions, stored, text_chunks,
+                                  whole_groups)
 from attrition.llm.components import components
 from attrition.llm.words import doc_numbers, word_hashes
 
@@ -108,47 +109,6 @@ def _profiles(width: int, num: int, den: int, cut: int):
     return run
 
 
-def _in_blocks(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """``rows`` of keys with two rows at least, with the pair of blocks (lo, hi) each goes to.
-
-    A key with up to ``most`` rows is one block; one with more is dealt into blocks by a hash
-    of the id, and every row goes to the pairs that hold its block.
-    """
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
-    blocks = F.ceil(F.col("_size") / most).cast("int")
-    return (rows.join(sizes, key).withColumn("_own", F.pmod(F.xxhash64("_id"), blocks).cast("int"))
-            .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .withColumns({"lo": F.least("_own", "_other"), "hi": F.greatest("_own", "_other")})
-            .withColumn("second", (F.col("lo") != F.col("hi")) & (F.col("_own") == F.col("hi")))
-            .drop("_size", "_own", "_other"))
-
-
-def _groups(batches: Iterator[pa.RecordBatch], key_columns: int) -> Iterator[pa.Table]:
-    """Tables of whole groups: consecutive rows that agree in the first columns stay together."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(key_columns)]
-        changes = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
-        if held:
-            last = held[-1]
-            same = all(last.column(k)[-1] == batch.column(k)[0] for k in range(key_columns))
-            if not same:
-                yield pa.Table.from_batches(held)
-                held = []
-            elif len(changes):
-                held.append(batch.slice(0, changes[0]))
-                yield pa.Table.from_batches(held)
-                held, batch, changes = [], batch.slice(changes[0]), changes[1:] - changes[0]
-        if len(changes):
-            yield pa.Table.from_batches([batch.slice(0, changes[-1])])
-            batch = batch.slice(changes[-1])
-        held.append(batch)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _numbers(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
@@ -177,7 +137,7 @@ def _region_edges(num: int, den: int):
         return edges
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 3):
+        for table in whole_groups(batches, 3):
             s, lo, hi, n, ids, second = (_numbers(table, x) for x in ("s", "lo", "hi", "n", "_id", "second"))
             cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS)
             n = n.astype(np.int64)
@@ -274,7 +234,7 @@ class _Sets:
 
 def _cluster_edges(width: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 3):
+        for table in whole_groups(batches, 3):
             cluster, lo, hi = (_numbers(table, x) for x in ("cluster", "lo", "hi"))
             start = np.flatnonzero(np.append(True, (cluster[1:] != cluster[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
             for b, e in zip(start.tolist(), [*start[1:].tolist(), len(cluster)], strict=True):
@@ -313,13 +273,13 @@ def join(df: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str
         "array<struct<c:bigint,s:bigint>>")))
     regions = placed.select("_id", "n", "cells", F.explode(F.concat(
         F.transform(F.slice("shared", F.lit(1), take), lambda x: x["s"]), "high")).alias("s"))
-    dealt = _in_blocks(stored(regions, "regions"), "s", REGION_ROWS)
+    dealt = in_blocks(stored(regions, "regions"), "s", REGION_ROWS)
     near = (dealt.repartition(tasks, "s", "lo", "hi").sortWithinPartitions("s", "lo", "hi", "n")
             .select("s", "lo", "hi", "n", "_id", "second", "cells").mapInArrow(_region_edges(num, den), "a bigint, b bigint"))
     clusters = components(near).select(F.col("id").alias("_id"), F.col("component").alias("cluster"))
 
     members = rows.join(clusters, "_id").select("cluster", "_id", "_text").dropDuplicates(["cluster", "_id"])
-    dealt = _in_blocks(stored(members, "members"), "cluster", CLUSTER_ROWS)
+    dealt = in_blocks(stored(members, "members"), "cluster", CLUSTER_ROWS)
     links = (dealt.repartition(tasks, "cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
              .select("cluster", "lo", "hi", "_id", "second", "_text")
              .mapInArrow(_cluster_edges(width, num, den), "a bigint, b bigint"))

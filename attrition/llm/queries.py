@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import bpe, exact, jaccard, langid, packing, repair, sharding, simhash, token_counts
+from attrition.llm import bpe, exact, jaccard, langid, packing, repair, sharding, simhash, suffix, token_counts
 from attrition.llm.common import unsigned_crc32
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,20 @@ def op3_jaccard_join(spark, sf_dir):
     """Components of documents whose sets of three-word shingles have a Jaccard similarity of 0.9 or more."""
     return jaccard.join(_documents(spark, sf_dir), width=3, num=9, den=10).select(
         "doc_id", "n_shingles", "component_id")
+
+
+@register
+def op5_suffix_dedup(spark, sf_dir):
+    """Every document without the strings of 400 bytes that occur twice."""
+    docs = _documents(spark, sf_dir)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    # digests of each different text before they meet the documents
+    texts = suffix.repeated_spans(docs, 400).select(
+        "key", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"),
+                       suffix.text_key(text).alias("key"))
+    return rows.join(texts, "key", "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
+        F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
