@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import stored, text_chunks
+from attrition.llm.common import bound_batches, stored, text_chunks
 from attrition.llm.pieces import LETTER, char_classes
 
 CELLS = 1 << 16         # hashed trigrams: a table of fixed size per language
@@ -72,6 +72,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
                 [pa.array([lang] * len(at)), pa.array(at.astype(np.int32)), pa.array(n[at].astype(np.int64))],
                 names=["lang", "cell", "n"])
 
+    bound_batches(labelled.sparkSession)
     known = labelled.filter(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     languages = known.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
@@ -114,15 +115,18 @@ def _score(languages: list[str], table: np.ndarray, text_at: int, names: list[st
 
 
 def identify(df: DataFrame, model: dict[str, np.ndarray], id_col: str, text: Column, declared: Column, suffix: Column,
-             host: Column, domain: Column) -> DataFrame:
-    """One row per row of ``df``: ``id_col``, lang (or ``und``), posterior, n_trigrams, text_lang."""
+             host: Column, domain: Column, key: Column | None = None) -> DataFrame:
+    """One row per row of ``df``: ``id_col``, lang (or ``und``), posterior, n_trigrams, text_lang, and
+    ``row_key`` (binary; what ``key`` gives for the row)."""
     languages = list(model)
     table = np.stack(list(model.values())) if model else np.zeros((0, CELLS), np.float32)
     absent = F.lit("")
+    bound_batches(df.sparkSession)
     rows = df.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text, absent).alias("_text"),
+                     (F.lit(None) if key is None else key).cast("binary").alias("row_key"),
                      *(F.lower(F.coalesce(c.cast("string"), absent)).alias(n)
                        for c, n in ((declared, "declared"), (suffix, "suffix"), (host, "host"), (domain, "domain"))))
-    sql = "_id bigint, declared string, suffix string, host string, domain string, _n bigint, _text_scores array<double>"
+    sql = "_id bigint, row_key binary, declared string, suffix string, host string, domain string, _n bigint, _text_scores array<double>"
     scored = stored(rows.mapInArrow(_score(languages, table, 1, rows.columns), sql), "scored")
     names = F.array(*[F.lit(x) for x in [*languages, UND]])
     best = F.when(F.col("_n") == 0, F.lit(UND)).otherwise(
@@ -154,7 +158,7 @@ def identify(df: DataFrame, model: dict[str, np.ndarray], id_col: str, text: Col
     domains = counts("domain")
     if not languages:
         return scored.select(F.col("_id").alias(id_col), F.lit(UND).alias("lang"), F.lit(1.0).alias("posterior"),
-                             F.col("_n").alias("n_trigrams"), "text_lang")
+                             F.col("_n").alias("n_trigrams"), "text_lang", "row_key")
     n_domain = sum((F.col(f"domain_{k}") for k in range(len(languages))), F.lit(0))
     n_host = sum((F.col(f"host_{k}") for k in range(len(languages))), F.lit(0))
     out = (scored.join(likelihood("declared"), "declared", "left").join(likelihood("suffix"), "suffix", "left")
@@ -175,4 +179,4 @@ def identify(df: DataFrame, model: dict[str, np.ndarray], id_col: str, text: Col
             F.element_at(names, F.array_position("_scores", top).cast("int"))).alias("lang"),
         F.when(F.col("_n") == 0, F.lit(1.0)).otherwise(
             1 / F.aggregate("_scores", F.lit(0.0), lambda a, x: a + F.exp(x - top))).alias("posterior"),
-        F.col("_n").alias("n_trigrams"), "text_lang")
+        F.col("_n").alias("n_trigrams"), "text_lang", "row_key")

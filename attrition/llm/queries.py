@@ -122,7 +122,7 @@ def op9_language_id(spark, sf_dir):
     body = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " "), r"<[^>]*>", " ")
     return langid.identify(
         pages, model, "page_id", text=body, declared=F.regexp_extract(html, r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]+)", 1),
-        suffix=F.regexp_extract(host, r"([^.]+)$", 1), host=host, domain=F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1))
+        suffix=F.regexp_extract(host, r"([^.]+)$", 1), host=host, domain=F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)).drop("row_key")
 
 
 @register

@@ -355,3 +355,13 @@ def repeated_spans(df: DataFrame, length: int = 400, gram: int = 48, id_col: str
     spans = whole.unionByName(partly).groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(
         _cut, "key binary, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
+
+
+def remove_repeats(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``df`` with the repeated strings cut out of ``text_col`` (a character cut in part goes too)."""
+    found = repeated_spans(df, length, id_col=id_col, text_col=text_col).filter(F.size("spans") > 0)
+    valid = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\uFFFD", "")
+    changed = found.select(F.col("key").alias("__x_key"), valid.alias("__x_text"))
+    rows = df.withColumn("__x_own", text_key(F.coalesce(F.col(text_col), F.lit(""))))
+    return rows.join(changed, F.col("__x_own") == F.col("__x_key"), "left").select(
+        *[F.coalesce("__x_text", text_col).alias(text_col) if c == text_col else F.col(c) for c in df.columns])
