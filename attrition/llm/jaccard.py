@@ -292,5 +292,5 @@ def join(df: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str
 
 def keep_one(df: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``df`` whose document is the smallest of its component (null ids stay)."""
-    drop = joined.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    drop = stored(joined.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "dropped")
     return df.join(drop, id_col, "left_anti")
