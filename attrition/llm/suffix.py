@@ -336,7 +336,8 @@ def repeated_spans(df: DataFrame, length: int = 400, gram: int = 48, id_col: str
     texts = stored_by_key(rows.groupBy(text_key(F.col("_text")).alias("key")).agg(
         F.first("_text").alias("text"), F.count(F.lit(1)).alias("copies")), "texts", "key", tasks)
     contexts = texts.select("key", "copies", "text").mapInArrow(_anchors(length, gram), ANCHOR)
-    common = contexts.groupBy("g").agg(F.sum("copies").alias("_w")).filter("_w > 1").select("g")
+    # written, so that the join reads two plain shuffles and a hot anchor can be split
+    common = stored(contexts.groupBy("g").agg(F.sum("copies").alias("_w")).filter("_w > 1").select("g"), "common")
     places = stored(contexts.join(common, "g"), "contexts")
     variants = stored(places.groupBy("g", "h1", "h2").agg(
         F.sum("copies").alias("weight"), F.min(F.struct("key", "first", "last")).alias("at")), "variants")
