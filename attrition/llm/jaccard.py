@@ -42,7 +42,7 @@ from attrition.llm.common import (U64, id_and_text, in_blocks, mix, shuffle_part
 from attrition.llm.components import components
 from attrition.llm.words import doc_numbers, word_hashes
 
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 CELLS = 64
 REGION_ROWS = 1024          # more rows of a region, or documents of a cluster, go to pairs of blocks
 CLUSTER_ROWS = 1024

@@ -36,7 +36,7 @@ SMOOTHING = 0.5
 EVIDENCE = 50.0
 HOST_STRENGTH = 20.0    # pseudo-counts of the domain in a host's prior, and of all texts in a domain's
 UND = "und"
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 def trigram_cells(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,12 +79,9 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     if languages > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages in {lang_col}")
     sums = known.mapInArrow(count, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    counts: dict[str, np.ndarray] = {}
-    packed = sums.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
-    for row in packed.collect():
-        table = np.zeros(CELLS)
-        table[[c["cell"] for c in row["cells"]]] = [c["n"] for c in row["cells"]]
-        counts[row["lang"]] = table
+    table = sums.toArrow()
+    names, cell, n = table.column("lang").to_numpy(), table.column("cell").to_numpy(), table.column("n").to_numpy()
+    counts = {lang: np.bincount(cell[names == lang], n[names == lang], minlength=CELLS) for lang in set(names)}
     return {k: np.log((v + SMOOTHING) / (v.sum() + SMOOTHING * CELLS)).astype(np.float32)
             for k, v in sorted(counts.items())}
 

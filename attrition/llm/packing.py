@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from attrition.llm.common import crc32_u32, id_and_text, stored, text_chunks
 from attrition.llm.pieces import worker_encoder
 
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 19
 PIECES = "_id bigint, start bigint, length int, doc_tokens bigint, ids_crc32 bigint, ids binary, block int, nth bigint"
 
 

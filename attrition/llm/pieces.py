@@ -108,18 +108,23 @@ class PieceEncoder:
     """Token ids of texts, encoding each distinct pre-token once.
 
     ``encode_words`` turns pre-tokens into lists of ids.  What is known is kept
-    between calls up to ``max_known`` pre-tokens, then forgotten (speed only).
+    between calls up to ``max_known`` pre-tokens; beyond, only those of the current texts stay (speed only).
     """
 
-    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_known: int = 1_000_000):
+    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], max_known: int = 500_000):
         self.encode_words, self.max_known = encode_words, max_known
-        self._reset()
-
-    def _reset(self) -> None:
         self.known: dict[int, int] = {}
         self.flat = np.zeros(0, np.int32)
         self.offsets = np.zeros(1, np.int64)
 
+    def _forget_all_but(self, hashes: list[int]) -> None:
+        kept = [h for h in hashes if h in self.known]
+        entry = np.fromiter((self.known[h] for h in kept), np.int64, len(kept))
+        sizes = self.offsets[entry + 1] - self.offsets[entry]
+        self.flat = self.flat[spans_index(self.offsets[entry], sizes)]
+        self.offsets = np.append(0, np.cumsum(sizes))
+        self.known = dict(zip(kept, range(len(kept)), strict=True))
+
     def _learn(self, hashes: list[int], words: list[str]) -> None:
         ids = self.encode_words(words)
         sizes = np.fromiter((len(x) for x in ids), np.int64, len(ids))
@@ -133,10 +138,10 @@ class PieceEncoder:
         parts = split(texts)
         if not len(parts.starts):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        if len(self.known) > self.max_known:
-            self._reset()
         distinct, first, inverse = np.unique(parts.hashes(), return_index=True, return_inverse=True)
         keys = distinct.tolist()
+        if len(self.known) > self.max_known:
+            self._forget_all_but(keys)
         new = [k for k, h in enumerate(keys) if h not in self.known]
         if new:
             self._learn([keys[k] for k in new], [parts.piece(first[k]) for k in new])

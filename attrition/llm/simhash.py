@@ -26,7 +26,7 @@ from attrition.llm.common import id_and_text, shuffle_partitions, stored, text_c
 from attrition.llm.words import doc_numbers, word_hashes
 
 BITS = 64
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 19
 
 
 def fingerprint_texts(texts: list[str]) -> np.ndarray:

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from attrition.llm.common import (U64, id_and_text, in_blocks, mix, shuffle_partitions, stored, stored_by_key,
                                   whole_groups)
 
-SEGMENT = 1 << 20           # bytes of text hashed at once
+SEGMENT = 1 << 18           # bytes of text hashed at once
 PLACE_BITS = U64(22)        # place within a chunk of segments, below the hash that orders grams
 SHARD_BYTES = 1 << 21       # bytes in one suffix array
 ANCHOR_CONTEXTS = 1024      # more contexts of one anchor go to pairs of blocks

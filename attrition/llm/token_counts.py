@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from attrition.llm.common import id_and_text, stored, text_chunks
 from attrition.llm.pieces import worker_encoder
 
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 19
 RUN = 1024      # blocks scanned together in the first step of the prefix scan
 FLAT = "file int, block bigint, tokens binary, ids array<bigint>, first_doc bigint"
 
