@@ -22,15 +22,16 @@ RECENT = 3      # months in the "last" band
 BANDS = 2       # last band + previous band
 
 
-def agg_billing(facturation: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
+def agg_billing(facturation: DataFrame, start: dt.date, ref: dt.date, count_nulls: bool = True) -> DataFrame:
     """Invoices in the period: count, total, mean, late and on-time counts.
 
+    ``count_nulls=False`` counts invoices with an amount only (script rule).
     Money is summed as exact decimal; the mean is ``sum / count`` in double
     (skips null amounts like ``AVG``).
     """
     f = facturation.filter(in_period(F.col("date_facture"), start, ref))
     return f.groupBy("client_id").agg(
-        F.count(F.lit(1)).alias("nb_factures"),
+        F.count(F.lit(1) if count_nulls else F.col("montant")).alias("nb_factures"),
         F.sum("montant").alias("total_charges"),
         exact_avg(F.col("montant")).alias("montant_moyen_facture"),
         F.count_if(F.col("paye_a_temps") == 0).alias("nb_retards_paiement"),
@@ -38,11 +39,14 @@ def agg_billing(facturation: DataFrame, start: dt.date, ref: dt.date) -> DataFra
     )
 
 
-def agg_support(interactions: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
-    """Support contacts in the period: count, cancellation contacts, resolution rate."""
+def agg_support(interactions: DataFrame, start: dt.date, ref: dt.date, count_nulls: bool = True) -> DataFrame:
+    """Support contacts in the period: count, cancellation contacts, resolution rate.
+
+    ``count_nulls=False`` counts contacts with a theme only (script rule).
+    """
     i = interactions.filter(in_period(F.col("date_interaction"), start, ref))
     return i.groupBy("client_id").agg(
-        F.count(F.lit(1)).alias("nb_interactions_support"),
+        F.count(F.lit(1) if count_nulls else F.col("theme")).alias("nb_interactions_support"),
         F.count_if(F.col("theme") == THEME_CANCELLATION).alias("nb_contacts_resiliation"),
         F.avg("resolution_satisfaisante").alias("taux_resolution_satisfaisante"),
     )
@@ -71,7 +75,15 @@ def usage_ranked(usage: DataFrame, start: dt.date, ref: dt.date, limit: int | No
     return u.withColumn("rn_mois", F.row_number().over(_month_rank("desc"))).filter(F.col("rn_mois") <= limit)
 
 
-def usage_trend(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
+def usage_totals(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
+    """Usage sums of the period per client: one scan, one aggregate, no ranking."""
+    return usage.filter(in_period(F.col("mois"), start, ref)).groupBy("client_id").agg(
+        F.sum("nb_connexions").alias("total_connexions_12_mois"),
+        F.sum("volume_data_go").cast("decimal(20,2)").alias("total_volume_go_12_mois"),
+    )
+
+
+def usage_trend(usage: DataFrame, start: dt.date, ref: dt.date, null_clients: bool = True) -> DataFrame:
     """Usage totals and last-3 versus previous-3 month averages per client.
 
     Two reductions of the same filtered scan, joined on ``client_id``:
@@ -80,12 +92,12 @@ def usage_trend(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
       rows per client and task cross the shuffle) then conditional averages.
     Both come out hash-partitioned on ``client_id``, so the join between them
     adds no exchange.  Every client with a row has rank 1, so the join is 1:1.
+    ``null_clients=False`` leaves out usage without a client (what a join to
+    the clients drops anyway) and keeps the output partitioned on the plain key.
     """
-    in_period_rows = usage.filter(in_period(F.col("mois"), start, ref))
-    totals = in_period_rows.groupBy("client_id").agg(
-        F.sum("nb_connexions").alias("total_connexions_12_mois"),
-        F.sum("volume_data_go").alias("total_volume_go_12_mois"),
-    )
+    if not null_clients:
+        usage = usage.filter(F.col("client_id").isNotNull())
+    totals = usage_totals(usage, start, ref)
     rn = F.col("rn_mois")
     last = rn <= RECENT
     prev = (rn > RECENT) & (rn <= RECENT * BANDS)
@@ -94,7 +106,11 @@ def usage_trend(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
         F.avg(F.when(prev, F.col("nb_connexions"))).alias("connexions_3mois_avant"),
         exact_avg(F.when(last, F.col("volume_data_go"))).alias("volume_go_3derniers_mois"),
     )
-    return totals.join(bands, "client_id")
+    if not null_clients:
+        return totals.join(bands, "client_id")
+    # null-safe: usage without a client is one group of its own on both sides
+    bands = bands.withColumnRenamed("client_id", "_client")
+    return totals.join(bands, F.col("client_id").eqNullSafe(F.col("_client"))).drop("_client")
 
 
 def reverse_rank(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFrame:
@@ -127,21 +143,18 @@ def usage_trend_outer(usage: DataFrame, start: dt.date, ref: dt.date) -> DataFra
     rather than from the full ``reverse_rank``.  No range shuffle or
     checkpoint of the whole usage table is needed.
     """
+    usage = usage.filter(F.col("client_id").isNotNull())   # the script's grouping drops null keys
     ranked = usage_ranked(usage, start, ref, limit=RECENT * BANDS)
     rr = F.col("rn_mois") - 1
-    last = ranked.filter(rr < RECENT).groupBy("client_id").agg(
-        F.avg("nb_connexions").alias("connexions_moy_3derniers_mois"))
-    prev = ranked.filter((rr >= RECENT) & (rr < RECENT * BANDS)).groupBy("client_id").agg(
-        F.avg("nb_connexions").alias("connexions_moy_3mois_avant"))
-    totals = usage.filter(in_period(F.col("mois"), start, ref)).groupBy("client_id").agg(
-        F.sum("nb_connexions").alias("total_connexions_12_mois"),
-        F.sum("volume_data_go").alias("total_volume_go_12_mois"),
-    )
-    merged = last.join(prev, "client_id", "full").join(totals, "client_id", "full")
+    # both bands from one aggregate of the top rows; a missing band is a null average
+    bands = ranked.groupBy("client_id").agg(
+        F.avg(F.when(rr < RECENT, F.col("nb_connexions"))).alias("_last"),
+        F.avg(F.when(rr >= RECENT, F.col("nb_connexions"))).alias("_prev"))
+    merged = bands.join(usage_totals(usage, start, ref), "client_id", "full")
     filled = merged.select(
         "client_id",
-        F.coalesce("connexions_moy_3derniers_mois", F.lit(0.0)).alias("connexions_moy_3derniers_mois"),
-        F.coalesce("connexions_moy_3mois_avant", F.lit(0.0)).alias("connexions_moy_3mois_avant"),
+        F.coalesce("_last", F.lit(0.0)).alias("connexions_moy_3derniers_mois"),
+        F.coalesce("_prev", F.lit(0.0)).alias("connexions_moy_3mois_avant"),
         F.coalesce("total_connexions_12_mois", F.lit(0)).alias("total_connexions_12_mois"),
         F.coalesce("total_volume_go_12_mois", F.lit(0)).alias("total_volume_go_12_mois"),
     )

@@ -68,8 +68,6 @@ def model_frame(features: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------- K2 vocabulary / K3 one-hot
-MAX_BROADCAST_VOCAB = 200_000   # vocabulary rows allowed in a broadcast lookup
-
 def _category_pairs(frame: DataFrame, categorical: tuple[str, ...]) -> DataFrame:
     """(key, feature, category) for every non-null categorical value, one scan."""
     pairs = F.explode(F.array(*[
@@ -104,8 +102,8 @@ def one_hot_slots(frame: DataFrame, roles: FrameRoles) -> DataFrame:
     values have no row (an all-zero block), as with ``handle_unknown='ignore'``.
     The frame is read twice (vocabulary, then values): pass a materialized one.
     """
-    # the vocabulary is small (one row per category): materialise it once so
-    # its size check and the lookup below do not rescan the frame
+    # one row per category, materialised once: the offsets and the lookup below
+    # do not rescan the frame
     vocab = cut_lineage(category_vocab(frame, roles.categorical))
     sizes = vocab.groupBy("feature", "feature_pos").agg(F.count(F.lit(1)).alias("size"))
     offsets = sizes.select(
@@ -120,12 +118,8 @@ def one_hot_slots(frame: DataFrame, roles: FrameRoles) -> DataFrame:
         F.concat_ws("_", "feature", "category").alias("column_name"),
     )
     values = _category_pairs(frame, roles.categorical)
-    # A few categories cover most rows (a join on them is maximally skewed),
-    # so the vocabulary is broadcast -- after checking its size.  Beyond the
-    # limit the join stays a shuffle join and AQE splits the hot categories.
-    n_slots = vocab.count()
-    lookup = F.broadcast(slots) if n_slots <= MAX_BROADCAST_VOCAB else slots
-    return values.join(lookup, ["feature", "category"]).select(KEY, "column_name", "slot")
+    # The optimizer's own size check chooses the join; in a shuffle join AQE splits hot categories.
+    return values.join(slots, ["feature", "category"]).select(KEY, "column_name", "slot")
 
 
 # ------------------------------------------------------- K5 stratified split

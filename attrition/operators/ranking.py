@@ -56,6 +56,11 @@ def ordered_position(df: DataFrame, order: list, group: list[str] | None = None,
     if not g:
         # one row per partition: bounded by the partition count
         offsets = F.broadcast(offsets)
-    joined = tagged.join(offsets, [*g, "_pid"])
+    # null groups are groups like any other, so the keys compare null-safe
+    renamed = offsets.withColumnsRenamed({c: f"_{c}_key" for c in [*g, "_pid"]})
+    same = tagged["_pid"] == renamed["__pid_key"]
+    for c in g:
+        same &= tagged[c].eqNullSafe(renamed[f"_{c}_key"])
+    joined = tagged.join(renamed, same).drop(*[f"_{c}_key" for c in [*g, "_pid"]])
     return joined.withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first")).drop(
         "_pid", "_mid", "_first", "_off")

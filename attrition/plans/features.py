@@ -49,12 +49,13 @@ class FeatureOptions:
     lookup: str = "inner"                 # "inner" (drop unknown product) | "left"
     pick: str = "row"                     # "row" (whole latest row) | "last_nonnull" (per column)
     no_contact_rate: float = 1.0          # resolution rate without any contact
+    count_nulls: bool = True              # count rows (True) or rows with an amount / theme
     trend_form: str = "bands"             # "bands" (one pass) | "outer" (outer merges)
 
 
 SCRIPT_OPTIONS = FeatureOptions(
     tenure_mode="days30", keep_future=True, lookup="left", pick="last_nonnull",
-    no_contact_rate=0.0, trend_form="outer",
+    no_contact_rate=0.0, count_nulls=False, trend_form="outer",
 )
 
 
@@ -96,12 +97,12 @@ def build_features(
     output.
     """
     subs = subscription_features(tables, ref, options)
-    billing = agg_billing(tables["facturation"], start, ref)
-    support = agg_support(tables["interactions_support"], start, ref)
+    billing = agg_billing(tables["facturation"], start, ref, options.count_nulls)
+    support = agg_support(tables["interactions_support"], start, ref, options.count_nulls)
     if options.trend_form == "outer":
         usage = usage_trend_outer(tables["usage_mensuel"], start, ref)
     else:
-        usage = usage_trend(tables["usage_mensuel"], start, ref)
+        usage = usage_trend(tables["usage_mensuel"], start, ref, null_clients=False)
 
     clients = tables["clients"].select(*CLIENT_COLUMNS)
     joined = (

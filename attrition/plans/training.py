@@ -14,6 +14,7 @@ Order of work, and why it differs from a single-machine script:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -28,9 +29,18 @@ class TrainingResult:
     roles: ml.FrameRoles
     split: DataFrame
     predictions: DataFrame
-    confusion: DataFrame
-    report: DataFrame
-    accuracy: DataFrame
+
+    @cached_property
+    def confusion(self) -> DataFrame:
+        return ml.confusion_counts(self.predictions)
+
+    @property
+    def report(self) -> DataFrame:
+        return ml.classification_report(self.confusion)
+
+    @property
+    def accuracy(self) -> DataFrame:
+        return ml.accuracy(self.predictions)
 
 
 def prepare(features: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, ml.FrameRoles]:
@@ -50,12 +60,7 @@ def train_and_evaluate(features: DataFrame, c: float = ml.C, max_iter: int = ml.
     train = split.filter("split = 'train'")
     test = split.filter("split = 'test'")
     model = ml.fit_model(train, roles, c=c, max_iter=max_iter)
-    pred = ml.predictions(model, test)
-    confusion = ml.confusion_counts(pred)
-    return TrainingResult(
-        model=model, roles=roles, split=split, predictions=pred, confusion=confusion,
-        report=ml.classification_report(confusion), accuracy=ml.accuracy(pred),
-    )
+    return TrainingResult(model=model, roles=roles, split=split, predictions=ml.predictions(model, test))
 
 
 def save_model(model: PipelineModel, path: str) -> str:

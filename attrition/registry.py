@@ -81,7 +81,10 @@ def q_export_profile(spark, sf):
 
 @register("features_script_variant", oracle.features_script_variant())
 def q_features_script_variant(spark, sf):
-    return feat.features_script_variant(load_tables(spark, sf), REF, START)
+    t = load_tables(spark, sf)
+    # the script labels by membership in a set of client ids: here, those who ever cancelled in the period
+    left = t["abonnements"].filter((F.col("statut") == "résilié") & (F.col("date_fin") >= F.lit(START)))
+    return feat.features_script_variant(t, REF, START, label_ids=left.select("client_id"))
 
 
 # ============================================================ A4 scans
@@ -191,8 +194,7 @@ def q_usage_trend(spark, sf):
 
 @register("agg_usage_totals", oracle.agg_usage_totals())
 def q_agg_usage_totals(spark, sf):
-    return activity.usage_trend(load_tables(spark, sf)["usage_mensuel"], START, REF).select(
-        "client_id", "total_connexions_12_mois", "total_volume_go_12_mois")
+    return activity.usage_totals(load_tables(spark, sf)["usage_mensuel"], START, REF)
 
 
 @register("reverse_rank", oracle.reverse_rank())
@@ -268,7 +270,7 @@ def q_join_left_aggs(spark, sf):
     t = load_tables(spark, sf)
     billing = activity.agg_billing(t["facturation"], START, REF)
     support = activity.agg_support(t["interactions_support"], START, REF)
-    usage = activity.usage_trend(t["usage_mensuel"], START, REF)
+    usage = activity.usage_totals(t["usage_mensuel"], START, REF)
     return (
         t["clients"].select("client_id")
         .join(billing, "client_id", "left")
@@ -296,8 +298,9 @@ def q_dataset_summary(spark, sf):
 @register("inline_catalogue", oracle.inline_catalogue(cat.CATALOGUE))
 def q_inline_catalogue(spark, sf):
     t = load_tables(spark, sf)
-    per_cat = t["abonnements"].join(t["produits"], "produit_id").groupBy("categorie").agg(
-        F.count(F.lit(1)).alias("n_abonnements"))
+    # counts per product first: a hot product is one row per map task before the join
+    per_product = t["abonnements"].groupBy("produit_id").agg(F.count(F.lit(1)).alias("n"))
+    per_cat = per_product.join(t["produits"], "produit_id").groupBy("categorie").agg(F.sum("n").alias("n_abonnements"))
     offers = cat.catalogue(spark).select(
         "categorie", F.col("produit_id").alias("offre_id"), F.col("nom").alias("offre"), "tarif_base")
     # the catalogue is four fixed rows: a bounded broadcast

@@ -8,9 +8,6 @@ and the shared checkpoint folder used to cut lineage.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session should carry.  AQE re-plans joins from runtime
@@ -50,19 +47,14 @@ def get_spark(
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, setting one only where none is set.
+    """Return the checkpoint folder that the session names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only a local-mode session with nothing configured (tests) gets a
-    scratch folder.  A cluster session without one fails here: a
-    machine-local folder there would leave each executor's checkpoint files
-    on its own disk.
+    A session without one fails here: a machine-local folder on a cluster
+    would leave each executor's checkpoint files on its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -70,11 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: on a cluster it must name a folder every "
-                "executor can reach (a distributed file system or object store)")
-        configured = tempfile.mkdtemp(prefix="attrition-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: it must name a folder every executor can reach "
+            "(a distributed file system or object store; any folder in local mode)")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

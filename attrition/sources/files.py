@@ -15,6 +15,12 @@ from pyspark.sql import types as T
 from attrition.session import ensure_checkpoint_dir
 
 
+# a field in quotes holds a quote as two; nothing is null and "" is the empty text; spaces stay
+CSV_TEXT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+WRITE_EMPTY = {"nullValue": "", "emptyValue": '""'}
+READ_EMPTY = {"nullValue": "\u0001null\u0001", "emptyValue": ""}    # a null is marked by what no field holds
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the shared checkpoint location (never machine-local
     on a cluster: the checkpoint folder is the one the cluster names)."""
@@ -23,19 +29,24 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Header + UTF-8 CSV, overwrite; the writer creates the folder."""
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    """Header + UTF-8 CSV, overwrite; the writer creates the folder.
+
+    Quotes are doubled, as other CSV tools write them; an empty text is ``""``, a null is nothing.
+    """
+    df.write.mode("overwrite").options(header=True, encoding="UTF-8", **CSV_TEXT, **WRITE_EMPTY).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header and the declared schema; a leading BOM on the first
-    header name is dropped by the reader.  Empty fields read back as null."""
+    header name is dropped by the reader.  Quoted fields may hold quotes, commas and newlines; empty
+    fields are null, ``""`` is the empty text; a malformed row fails the read."""
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("enforceSchema", False)
+        .options(multiLine=True, mode="FAILFAST", **CSV_TEXT, **READ_EMPTY)
         .csv(path)
     )
 

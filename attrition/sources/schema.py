@@ -38,7 +38,8 @@ class TableContract:
         return [f.name for f in self.schema.fields]
 
 
-# Keys are typed by the caller's data: the reference declares string ids,
+# --- fixed values: tables, columns, types, keys, defaults and lengths ------
+# Keys are typed by the caller's data: the published tables declare string ids,
 # the driver test tables carry bigint ids.  ``key_type`` picks one.
 def contracts(key_type: T.DataType = T.StringType()) -> dict[str, TableContract]:
     clients = TableContract(

@@ -176,8 +176,8 @@ def usage_mensuel(raw: Reader) -> DataFrame:
         (F.col("client_id") * 100000 + F.year("mois") * 12 + F.month("mois")).alias("usage_id"),
         "client_id",
         "mois",
-        F.floor("qty").cast("int").alias("nb_connexions"),
-        F.col("volume").cast(MONEY).alias("volume_data_go"),
+        F.floor("qty").cast("bigint").alias("nb_connexions"),
+        F.col("volume").cast("decimal(20,2)").alias("volume_data_go"),
         F.col("n_lines").cast("int").alias("duree_appels_min"),
         F.col("mois").cast("timestamp_ntz").alias("created_at"),
     )
@@ -302,8 +302,8 @@ ORACLE_CTES = {
   SELECT client_id * 100000 + year(mois) * 12 + month(mois) AS usage_id,
          client_id,
          mois,
-         CAST(FLOOR(qty) AS INTEGER) AS nb_connexions,
-         CAST(volume AS DECIMAL(10,2)) AS volume_data_go,
+         CAST(FLOOR(qty) AS BIGINT) AS nb_connexions,
+         CAST(volume AS DECIMAL(20,2)) AS volume_data_go,
          CAST(n_lines AS INTEGER) AS duree_appels_min,
          CAST(mois AS TIMESTAMP) AS created_at
   FROM (

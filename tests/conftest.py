@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -10,7 +11,8 @@ from attrition.session import get_spark  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_spark(master="local[4]", shuffle_partitions=8)
+    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    s = get_spark(master="local[4]", shuffle_partitions=8, extra_conf={"spark.checkpoint.dir": scratch})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

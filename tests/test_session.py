@@ -50,10 +50,9 @@ def test_cluster_without_shared_folder_fails():
         ensure_checkpoint_dir(_Session(_Context("spark://master:7077")))
 
 
-def test_local_mode_gets_a_scratch_folder():
-    sc = _Context("local[4]")
-    path = ensure_checkpoint_dir(_Session(sc))
-    assert path and sc.getCheckpointDir() == path
+def test_local_mode_without_a_folder_fails_too():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Session(_Context("local[4]")))
 
 
 def test_real_session_has_one(spark):
