@@ -42,10 +42,10 @@ def shard(df: DataFrame, n_shards: int, seed: int = 0, id_col: str = "doc_id", t
                            F.sum("n").over(W.partitionBy()).alias("total"))
     at = F.col("before") + F.col("position")
     cut = F.expr(f"({n_shards} * (before + position + 1) - 1) div total")
-    return (written.join(F.broadcast(offsets), "bucket")
-            .select("row.*", cut.alias("__shard"), at.alias("__at"), "total")
-            .select(*df.columns, F.col("__shard").cast("int").alias("shard"),
-                    (F.col("__at") - F.expr(f"(__shard * total) div {n_shards}")).alias("slot")))
+    placed = written.join(F.broadcast(offsets), "bucket").select("row", cut.alias("shard"), at.alias("at"), "total")
+    slot = F.col("at") - F.expr(f"(shard * total) div {n_shards}")
+    return placed.select(*[F.col("row")[c].alias(c) for c in df.columns], F.col("shard").cast("int").alias("shard"),
+                         slot.alias("slot"))
 
 
 def write(df: DataFrame, path: str) -> str:

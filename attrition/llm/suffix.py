@@ -13,7 +13,7 @@ those of the input).
 3. Suffix arrays.  What is left, one example of each different context of an anchor that
    has several, is dealt into shards by anchor.  A shard sorts its suffixes by
    Larsson-Sadakane refinement (only groups still equal are sorted again, on
-   the rank of what follows) to depth ``length`` and computes Kasai's common
+   the rank of what follows) and computes Kasai's common
    prefixes, for all contexts in step.  An anchor with very many contexts
    goes to several shards; the windows of one are looked up in the suffix
    array of the other by binary search.
@@ -140,10 +140,12 @@ def _with_bytes(length: int):
 
 
 class SuffixArray:
-    """Suffixes of some byte strings, sorted by their first ``depth`` bytes.
+    """Suffixes of some byte strings, sorted.
 
     ``order`` holds the suffixes ascending, ``rank`` the first place in it of
-    a suffix's group of equal ones.  A suffix ends with its string.
+    a suffix's group of equal ones.  A suffix ends with its string; equal
+    suffixes stay in the strings' order, which Kasai's bound needs.  ``depth``
+    caps the common prefixes.
     """
 
     def __init__(self, strings: list[bytes], depth: int):
@@ -161,7 +163,7 @@ class SuffixArray:
             key = key << 9 | np.where(inside, self.data[np.minimum(at, n - 1)].astype(np.int64) + 1, 0)
         self.order = np.argsort(key, kind="stable")
         self.rank = np.empty(n, np.int64)
-        known = 7
+        known, longest = 7, int(sizes.max(initial=0))
         slots, keys = places, key[self.order]   # places in ``order`` that are still open, and their sort keys
         while True:
             new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
@@ -171,18 +173,17 @@ class SuffixArray:
             self.rank[self.order[slots]] = np.repeat(group_start, sizes_of)
             open_groups = np.repeat(sizes_of > 1, sizes_of)
             slots = slots[open_groups]
-            if known >= depth or not len(slots):
+            if known >= longest or not len(slots):
                 break
-            step = min(known, depth - known)
             suffix = self.order[slots]
-            after = suffix + step
+            after = suffix + known
             inside = after < self.end[suffix]
             following = np.where(inside, self.rank[np.minimum(after, n - 1)] + 1, 0)
             keys = self.rank[suffix] * np.int64(n + 1) + following
             resort = np.argsort(keys, kind="stable")
             keys = keys[resort]
             self.order[slots] = suffix[resort]
-            known += step
+            known *= 2
 
     def common_prefixes(self) -> np.ndarray:
         """Kasai: bytes (``depth`` at most) that each place of ``order`` shares with the one before.

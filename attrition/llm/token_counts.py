@@ -85,7 +85,7 @@ def count_tokens(blocks: DataFrame, end_id: int = 50256) -> DataFrame:
     found = stored(blocks.mapInArrow(_find_ends(end_id), "file int, block bigint, size bigint, ends array<bigint>"),
                    "ends").withColumn("run", F.floor(F.col("block") / RUN))
     small = found.select("file", "run", "block", "size", F.size("ends").cast("long").alias("n"),
-                         F.element_at("ends", -1).alias("last"))
+                         F.try_element_at("ends", F.lit(-1)).alias("last"))
 
     def scan(rows: DataFrame, group: list[str], order: str) -> DataFrame:
         """Tokens, ends and the last end (from the group's start) before each row."""
