@@ -153,16 +153,24 @@ class PieceEncoder:
         return ids, np.diff(total[bounds])
 
 
+def byte_characters() -> dict[int, int]:
+    """The characters by which byte-level vocabularies write bytes: printable Latin-1 signs
+    stand for themselves, the other bytes count on from 256."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(others)}
+
+
 def library_encoder(path: str) -> PieceEncoder:
     """Pre-tokens through the ``tokenizers`` library's model of ``path``; strings of special
     tokens inside a text are ordinary text, and none are added."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    model = Tokenizer.from_file(path).model
+    table = byte_characters()
 
     def encode_words(words: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(table))] for w in words]
 
     return PieceEncoder(encode_words)
 
