@@ -437,7 +437,7 @@ def q_classification_report(spark, sf):
     return ml.classification_report(ml.confusion_counts(ml.score_linear(_model_frame(spark, sf))))
 
 
-@register("feature_vector")
+@register("feature_vector", oracle.feature_vector())
 def q_feature_vector(spark, sf):
     # two passes over the frame (indexer fit, then transform): materialize it once
     frame = cut_lineage(_model_frame(spark, sf))
@@ -447,29 +447,44 @@ def q_feature_vector(spark, sf):
     return assembled.select(ml.KEY, ml.LABEL, vector_to_array("features").alias("features"))
 
 
-@register("train_lr")
+# The coefficients depend on the solver, so SQL cannot state them; what it can state is
+# which terms the model has, and that the properties checked on Spark hold for every row.
+GRADIENT_TOLERANCE = 1e-4    # of the mean loss, in each feature's own units
+
+
+@register("train_lr", oracle.train_lr())
 def q_train_lr(spark, sf):
+    """Terms of the fitted model, and whether each is at the optimum of the penalised loss."""
     result = training.train_and_evaluate(_features(spark, sf))
-    return ml.coefficients(result.model, result.roles, result.split)
+    terms = ml.optimality(result.model, result.roles, result.split.filter("split = 'train'"))
+    return terms.select("term", "slot", (F.abs("gradient") <= GRADIENT_TOLERANCE).alias("at_optimum"))
 
 
-@register("predict_lr")
+@register("predict_lr", oracle.predict_lr())
 def q_predict_lr(spark, sf):
-    return training.train_and_evaluate(_features(spark, sf)).predictions
+    """Held-out rows, and whether the model's class is the sign of the score made from its coefficients."""
+    result = training.train_and_evaluate(_features(spark, sf))
+    scored = result.model.transform(result.split.filter("split = 'test'"))
+    positive = ml.linear_score(result.model, result.roles) > 0
+    return scored.select(ml.KEY, ml.LABEL, (F.col("prediction") == positive.cast("double")).alias("agrees"))
 
 
-@register("evaluate_lr")
+@register("evaluate_lr", oracle.evaluate_lr())
 def q_evaluate_lr(spark, sf):
-    """Classification report of the fitted model on the held-out rows."""
-    return training.train_and_evaluate(_features(spark, sf)).report
+    """Rows of the held-out report: support, and whether the row's identities hold."""
+    report = training.train_and_evaluate(_features(spark, sf)).report
+    return ml.report_consistency(report).select("row_label", "support", "consistent")
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", oracle.model_roundtrip())
 def q_model_roundtrip(spark, sf):
+    """Held-out rows, and how many the saved and reread model predicts differently."""
     result = training.train_and_evaluate(_features(spark, sf))
     path = training.save_model(result.model, files.shared_dir(spark, "models"))
     test = result.split.filter("split = 'test'")
-    return ml.predictions(training.load_model(path), test)
+    before = result.model.transform(test).select(*test.columns, F.col("prediction").alias("_before"))
+    after = training.load_model(path).transform(before)
+    return after.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") != F.col("_before")).alias("n_differing"))
 
 
 __all__ = ["queries", "oracle_sql", "register", "EXPORT_COLUMNS"]
