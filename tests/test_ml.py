@@ -112,6 +112,39 @@ def test_gradient_near_zero(spark, trained):
     assert abs(g0) < 1e-2
 
 
+def test_optimality_tells_a_stopped_fit(trained):
+    train = trained.split.filter("split = 'train'")
+    done = ml.optimality(trained.model, trained.roles, train).collect()
+    assert [r.slot for r in sorted(done, key=lambda r: r.slot)] == list(range(-1, len(done) - 1))
+    assert max(abs(r.gradient) for r in done) < 1e-4
+    stopped = ml.fit_model(train, trained.roles, max_iter=1)
+    assert max(abs(r.gradient) for r in ml.optimality(stopped, trained.roles, train).collect()) > 1e-4
+
+
+def test_linear_score_is_the_models(trained):
+    test = trained.split.filter("split = 'test'")
+    z = ml.linear_score(trained.model, trained.roles)
+    rows = trained.model.transform(test).select(
+        z.alias("z"), F.element_at(vector_to_array("rawPrediction"), 2).alias("raw")).collect()
+    assert [r.z for r in rows] == pytest.approx([r.raw for r in rows])
+
+
+def test_report_consistency(spark):
+    pred = spark.createDataFrame([(1.0, 1.0), (1.0, 1.0), (1.0, 0.0), (0.0, 0.0), (0.0, 1.0)],
+                                 "label double, prediction double")
+    report = ml.classification_report(ml.confusion_counts(pred))
+    assert all(r.consistent for r in ml.report_consistency(report).collect())
+    wrong = report.withColumn("f1_score", F.col("f1_score") + F.when(F.col("row_label") == "accuracy", 0.1).otherwise(0.0))
+    assert {r.row_label for r in ml.report_consistency(wrong).collect() if not r.consistent} == {"accuracy"}
+
+
+def test_null_numeric_fails_with_its_name(spark):
+    rows = [(i, float(i % 2), None if i == 3 else float(i), "a") for i in range(10)]
+    train = spark.createDataFrame(rows, "client_id long, label double, x double, cat string")
+    with pytest.raises(Exception, match="null in numeric feature x"):
+        ml.fit_model(train, ml.FrameRoles(("x",), ("cat",)))
+
+
 def test_model_roundtrip_same_predictions(spark, trained):
     path = training.save_model(trained.model, shared_dir(spark, "models"))
     test = trained.split.filter("split = 'test'")

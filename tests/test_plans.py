@@ -75,7 +75,7 @@ def test_script_variant_bands_use_partial_top_k(spark):
 SQL_QUERIES = sorted(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", SQL_QUERIES + ["feature_vector"])
+@pytest.mark.parametrize("name", SQL_QUERIES)
 def test_every_query_plan_is_distributed(spark, name):
     """No Cartesian product, no nested-loop join, no Python evaluation in any
     registered query's plan (static plan, AQE off)."""
