@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.common import (id_and_text, pack_planes, shuffle_partitions, spans_index, stored_by_key,
-                                  text_chunks, unpack_planes)
+                                  text_chunks, trimmed, unpack_planes)
 from attrition.llm.pieces import split
 
 CHUNK_CHARS = 1 << 20
@@ -189,14 +189,14 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     """
     n_buckets = n_buckets or max(64, shuffle_partitions(df.sparkSession))
     blocks = stored_by_key(id_and_text(df, id_col, text_col).mapInArrow(
-        _block_batches(n_buckets, block_chars), BLOCK_SCHEMA), "bpe_blocks", "block", n_buckets)
+        trimmed(_block_batches(n_buckets, block_chars)), BLOCK_SCHEMA), "bpe_blocks", "block", n_buckets)
     answers = (blocks.select("block", F.explode("words").alias("w")).select("block", "w.bucket", "w.words")
                .repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
-               .mapInArrow(_encode_buckets(ranks_path, pattern),
+               .mapInArrow(trimmed(_encode_buckets(ranks_path, pattern)),
                            "block string, bucket int, sizes binary, tokens binary")
                .groupBy("block").agg(F.collect_list(F.struct("bucket", "sizes", "tokens")).alias("answers")))
     return (blocks.drop("words").join(answers, "block", "left")
-            .mapInArrow(_assemble, "_id bigint, tokens array<int>")
+            .mapInArrow(trimmed(_assemble), "_id bigint, tokens array<int>")
             .withColumnRenamed("_id", id_col))
 
 
@@ -230,5 +230,5 @@ def decode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", tokens_col: s
     decode to no bytes.
     """
     rows = df.select(F.col(id_col).alias("_id"), F.col(tokens_col).alias("tokens"))
-    return rows.mapInArrow(_decode_batches(ranks_path), "_id bigint, tokens array<int>, decoded binary").withColumnRenamed(
+    return rows.mapInArrow(trimmed(_decode_batches(ranks_path)), "_id bigint, tokens array<int>, decoded binary").withColumnRenamed(
         "_id", id_col)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of whole texts by size, not by the 10,000 rows that suit numbers
     (settings that the session already has stay)."""
-    for name, usual, value in (("maxRecordsPerBatch", 10_000, 2_000), ("maxBytesPerBatch", 64 << 20, 16 << 20)):
+    for name, usual, value in (("maxRecordsPerBatch", 10_000, 2_000), ("maxBytesPerBatch", 64 << 20, 4 << 20)):
         key = f"spark.sql.execution.arrow.{name}"
         if int(spark.conf.get(key).rstrip("b")) == usual:
             spark.conf.set(key, str(value))
@@ -57,6 +58,23 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for mapInArrow; when a task ends, what it freed goes back to the system.
+
+    Idle Python workers stay beside the executor's later stages, and the C library keeps freed memory.
+    """
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)     # glibc only
+            if trim:
+                trim(0)
+
+    return whole
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads 64-bit values over the whole range."""
     x = (x ^ (x >> U64(30))) * MIX_1

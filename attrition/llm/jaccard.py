@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.common import (U64, id_and_text, in_blocks, mix, shuffle_partitions, stored, text_chunks,
-                                  whole_groups)
+                                  trimmed, whole_groups)
 from attrition.llm.components import components
 from attrition.llm.words import doc_numbers, word_hashes
 
@@ -240,7 +240,8 @@ def _cluster_edges(width: int, num: int, den: int):
             for b, e in zip(start.tolist(), [*start[1:].tolist(), len(cluster)], strict=True):
                 part = table.slice(b, e - b)
                 ids, second = _numbers(part, "_id"), _numbers(part, "second").astype(bool)
-                hashes, sizes = ngram_sets(part.column("_text").to_pylist(), width)
+                chunks = text_chunks(part.select(["_id", "_text"]).to_batches(), CHUNK_CHARS)
+                hashes, sizes = map(np.concatenate, zip(*(ngram_sets(t, width) for _, t in chunks), strict=True))
                 held = np.flatnonzero(sizes > 0)
                 sets = _Sets(hashes, sizes, num, den)
                 sets.join(held[np.argsort(sizes[held], kind="stable")], second if lo[b] != hi[b] else None)
@@ -257,7 +258,7 @@ def join(df: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str
     rows = id_and_text(df, id_col, text_col)
     tasks = shuffle_partitions(df.sparkSession)
     cut = min((3 * (den - num) << 64) // (2 * den), (1 << 64) - 1)
-    profile = stored(rows.mapInArrow(_profiles(width, num, den, cut), PROFILE), "profiles")
+    profile = stored(rows.mapInArrow(trimmed(_profiles(width, num, den, cut)), PROFILE), "profiles")
     sets = profile.filter("n > 0 AND _id IS NOT NULL")
     classes = stored(sets.groupBy("h1", "h2", "n").agg(F.min("_id").alias("class_id")), "classes")
 
@@ -275,14 +276,14 @@ def join(df: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str
         F.transform(F.slice("shared", F.lit(1), take), lambda x: x["s"]), "high")).alias("s"))
     dealt = in_blocks(stored(regions, "regions"), "s", REGION_ROWS)
     near = (dealt.repartition(tasks, "s", "lo", "hi").sortWithinPartitions("s", "lo", "hi", "n")
-            .select("s", "lo", "hi", "n", "_id", "second", "cells").mapInArrow(_region_edges(num, den), "a bigint, b bigint"))
+            .select("s", "lo", "hi", "n", "_id", "second", "cells").mapInArrow(trimmed(_region_edges(num, den)), "a bigint, b bigint"))
     clusters = components(near).select(F.col("id").alias("_id"), F.col("component").alias("cluster"))
 
     members = rows.join(clusters, "_id").select("cluster", "_id", "_text").dropDuplicates(["cluster", "_id"])
     dealt = in_blocks(stored(members, "members"), "cluster", CLUSTER_ROWS)
     links = (dealt.repartition(tasks, "cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
              .select("cluster", "lo", "hi", "_id", "second", "_text")
-             .mapInArrow(_cluster_edges(width, num, den), "a bigint, b bigint"))
+             .mapInArrow(trimmed(_cluster_edges(width, num, den)), "a bigint, b bigint"))
     found = components(links).select(F.col("id").alias("class_id"), F.col("component").alias("component_id"))
     return (profile.select("_id", "n", "h1", "h2").join(classes, ["h1", "h2", "n"], "left").join(found, "class_id", "left")
             .select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import bound_batches, stored, text_chunks
+from attrition.llm.common import bound_batches, stored, text_chunks, trimmed
 from attrition.llm.pieces import LETTER, char_classes
 
 CELLS = 1 << 16         # hashed trigrams: a table of fixed size per language
@@ -78,7 +78,7 @@ def train(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -
     languages = known.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
     if languages > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages in {lang_col}")
-    sums = known.mapInArrow(count, "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    sums = known.mapInArrow(trimmed(count), "lang string, cell int, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     table = sums.toArrow()
     names, cell, n = table.column("lang").to_numpy(), table.column("cell").to_numpy(), table.column("n").to_numpy()
     counts = {lang: np.bincount(cell[names == lang], n[names == lang], minlength=CELLS) for lang in set(names)}
@@ -124,7 +124,7 @@ def identify(df: DataFrame, model: dict[str, np.ndarray], id_col: str, text: Col
                      *(F.lower(F.coalesce(c.cast("string"), absent)).alias(n)
                        for c, n in ((declared, "declared"), (suffix, "suffix"), (host, "host"), (domain, "domain"))))
     sql = "_id bigint, row_key binary, declared string, suffix string, host string, domain string, _n bigint, _text_scores array<double>"
-    scored = stored(rows.mapInArrow(_score(languages, table, 1, rows.columns), sql), "scored")
+    scored = stored(rows.mapInArrow(trimmed(_score(languages, table, 1, rows.columns)), sql), "scored")
     names = F.array(*[F.lit(x) for x in [*languages, UND]])
     best = F.when(F.col("_n") == 0, F.lit(UND)).otherwise(
         F.element_at(names, F.array_position("_text_scores", F.array_max("_text_scores")).cast("int")))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from attrition.llm.common import crc32_u32, id_and_text, stored, text_chunks
+from attrition.llm.common import crc32_u32, id_and_text, stored, text_chunks, trimmed
 from attrition.llm.pieces import worker_encoder
 
 CHUNK_CHARS = 1 << 19
@@ -149,7 +149,7 @@ def pack(df: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int | N
     offset.  Sequence ids run without a gap from 0.
     """
     pieces = stored(id_and_text(df, id_col, text_col).mapInArrow(
-        _cut(tokenizer_path, end_id, window, keep_ids), PIECES), "pieces")
+        trimmed(_cut(tokenizer_path, end_id, window, keep_ids)), PIECES), "pieces")
     # pieces of a length in each block, and how many lie in blocks before it
     per_block = pieces.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n"))
     before = per_block.select("length", "block", (F.sum("n").over(
@@ -160,7 +160,7 @@ def pack(df: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int | N
     ranked = pieces.join(before, ["length", "block"]).withColumn("rank", F.col("nth") + F.col("before")).select(
         "_id", "start", "length", "doc_tokens", "ids_crc32", "ids", "rank")
     placed = ranked.mapInArrow(
-        _place(plan, 2, 6, ranked.columns),
+        trimmed(_place(plan, 2, 6, ranked.columns)),
         "_id bigint, start bigint, length int, doc_tokens bigint, ids_crc32 bigint, ids binary, rank bigint, "
         "sequence_id bigint, offset bigint")
     return placed.select(F.col("_id").alias(id_col), "start", F.col("length").cast("long").alias("length"),

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attrition.llm.common import (U64, id_and_text, in_blocks, mix, shuffle_partitions, stored, stored_by_key,
-                                  whole_groups)
+                                  trimmed, whole_groups)
 
 SEGMENT = 1 << 18           # bytes of text hashed at once
 PLACE_BITS = U64(22)        # place within a chunk of segments, below the hash that orders grams
@@ -336,7 +336,7 @@ def repeated_spans(df: DataFrame, length: int = 400, gram: int = 48, id_col: str
     rows = id_and_text(df, id_col, text_col).filter(F.octet_length("_text") >= length)
     texts = stored_by_key(rows.groupBy(text_key(F.col("_text")).alias("key")).agg(
         F.first("_text").alias("text"), F.count(F.lit(1)).alias("copies")), "texts", "key", tasks)
-    contexts = texts.select("key", "copies", "text").mapInArrow(_anchors(length, gram), ANCHOR)
+    contexts = texts.select("key", "copies", "text").mapInArrow(trimmed(_anchors(length, gram)), ANCHOR)
     # written, so that the join reads two plain shuffles and a hot anchor can be split
     common = stored(contexts.groupBy("g").agg(F.sum("copies").alias("_w")).filter("_w > 1").select("g"), "common")
     places = stored(contexts.join(common, "g"), "contexts")
@@ -349,14 +349,14 @@ def repeated_spans(df: DataFrame, length: int = 400, gram: int = 48, id_col: str
     examples = variants.join(several, "g").select("at.key", F.struct("g", "at.first", "at.last", "weight").alias("c"))
     with_bytes = texts.select("key", "text").join(
         examples.groupBy("key").agg(F.collect_list("c").alias("contexts")), "key").mapInArrow(
-        _with_bytes(length), "g bigint, key binary, first bigint, weight bigint, context binary")
+        trimmed(_with_bytes(length)), "g bigint, key binary, first bigint, weight bigint, context binary")
     shards = in_blocks(stored(with_bytes.withColumn("_at", F.xxhash64("key", "first")), "shards"), "g", ANCHOR_CONTEXTS, "_at")
     partly = (shards.repartition(tasks, "g", "lo", "hi").sortWithinPartitions("g", "lo", "hi")
               .select("g", "lo", "hi", "key", "first", "second", "context")
-              .mapInArrow(_repeats(length), "key binary, start bigint, stop bigint"))
+              .mapInArrow(trimmed(_repeats(length)), "key binary, start bigint, stop bigint"))
     spans = whole.unionByName(partly).groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(
-        _cut, "key binary, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
+        trimmed(_cut), "key binary, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
 
 
 def remove_repeats(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
