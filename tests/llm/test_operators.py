@@ -293,3 +293,59 @@ def test_language_fusion(spark, empty):
     assert {r.doc_id: r.lang for r in found.collect()} == {1: "de", 2: "en", 3: "und", 4: "und", None: "und"}
     none = langid.train(empty.withColumn("lang", F.lit(None).cast("string")))
     assert none == {}
+
+
+@pytest.mark.parametrize("at_once", [64, 7])
+def test_language_of_many_labels(spark, monkeypatch, at_once):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(langid, "PASS", at_once)
+    rng = random.Random(8)
+    vocabulary = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(6)] for _ in range(70)]
+    labels = ["en-US", "EN", *(f"l{k:02d}" for k in range(68))]
+    rows = [(j * 70 + k, " ".join(rng.choices(vocabulary[k], k=30)), x, f"host{k % 9}", f"dom{k % 4}")
+            for j in range(3) for k, x in enumerate(labels)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, domain string").repartition(3)
+    model = langid.train(labelled)
+    cells = {x: np.zeros(langid.CELLS) for x in sorted(labels)}
+    for _, text, x, _, _ in rows:
+        np.add.at(cells[x], langid.trigram_cells([text])[0], 1)
+    names = [*cells, "und"]
+    table = np.stack([np.log((v + langid.SMOOTHING) / (v.sum() + langid.SMOOTHING * langid.CELLS)) for v in cells.values()])
+    assert list(model) == names[:-1]
+    held = [*rows[:100], (900, None, "EN", "host0", None), (901, "qqq zz", "nowhere", "new", None)]
+    # the same evidence in plain Python
+    texts, used = [], []
+    for _, text, *_ in held:
+        cell = langid.trigram_cells([text or ""])[0]
+        score = [*table.astype(np.float32)[:, cell].astype(float).sum(axis=1), -np.log(langid.CELLS) * len(cell)]
+        texts.append(np.array(score) * min(1.0, langid.EVIDENCE / max(len(cell), 1)))
+        used.append(len(cell))
+    own = [int(np.argmax(s)) if n else 70 for s, n in zip(texts, used, strict=True)]
+    fields = {"declared": [(r[2] or "").lower() for r in held], "suffix": [""] * len(held),
+              "host": [(r[3] or "").lower() for r in held], "domain": [(r[4] or "").lower() for r in held]}
+    sure = [i for i, k in enumerate(own) if k < 70]
+
+    def seen(key, value):
+        return np.bincount([own[i] for i in sure if fields[key][i] == value], minlength=70)
+
+    total = np.bincount([own[i] for i in sure], minlength=70)
+    want = {}
+    for i, row in enumerate(held):
+        upper = (seen("domain", fields["domain"][i]) + 20 * (total + 1) / (len(sure) + 70))
+        upper = upper / (seen("domain", fields["domain"][i]).sum() + 20)
+        on_host = seen("host", fields["host"][i])
+        evidence = np.log((on_host + 20 * upper) / (on_host.sum() + 20))
+        evidence -= evidence.max()
+        for key in ("declared", "suffix"):
+            values = {fields[key][j] for j in sure}
+            if fields[key][i] in values:
+                x = np.log((seen(key, fields[key][i]) + 1) / (total + len(values) + 1))
+                evidence = evidence + x - x.max()
+        score = texts[i] + [*evidence, 0]
+        best = int(np.argmax(score)) if used[i] else 70
+        want[row[0]] = (names[best], 1 / np.exp(score - score.max()).sum() if used[i] else 1.0, used[i], names[own[i]])
+    found = langid.identify(spark.createDataFrame(held, labelled.schema).repartition(2), model, "doc_id", text=F.col("text"),
+                            declared=F.col("lang"), suffix=F.lit(None), host=F.col("source"), domain=F.col("domain")).collect()
+    assert {r.doc_id: (r.lang, r.n_trigrams, r.text_lang) for r in found} == {k: (v[0], *v[2:]) for k, v in want.items()}
+    assert {r.doc_id: r.posterior for r in found} == pytest.approx({k: v[1] for k, v in want.items()}, rel=1e-4)
