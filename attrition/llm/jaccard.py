@@ -24,8 +24,9 @@ then the others, by hash.  Any order gives the same links.
 
 Null texts are empty; texts without words are linked with nothing; texts with
 fewer words than n have one n-gram, the whole sequence.  Equal sets are one class with its
-smallest id.  A null id keeps its set size and has a null component; rows
-that repeat an id share its component.  Sets are compared by 64-bit n-gram hashes.
+smallest id.  Links go by row, so rows that repeat an id, or have none, are linked by their own
+texts; ids only name components.  A null id keeps its set size and has a null component.  Of a
+component stays the smallest id (nulls last, then the smallest text key).  Sets are compared by 64-bit n-gram hashes.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ from pyspark.sql import functions as F
 from attrition.llm.common import (U64, id_and_text, in_blocks, mix, shuffle_partitions, stored, text_chunks,
                                   trimmed, whole_groups)
 from attrition.llm.components import components
+from attrition.llm.suffix import text_key
 from attrition.llm.words import doc_numbers, word_hashes
 
 CHUNK_CHARS = 1 << 19
@@ -48,7 +50,8 @@ REGION_ROWS = 1024          # more rows of a region, or documents of a cluster,
 CLUSTER_ROWS = 1024
 LEAF, PIVOTS = 48, 8
 STEP = U64(0x9E3779B97F4A7C15)
-PROFILE = "_id bigint, n int, h1 bigint, h2 bigint, cells binary, n_low int, low array<bigint>, high array<bigint>"
+PROFILE = "own struct<id:bigint,key:binary>, n int, h1 bigint, h2 bigint, cells binary, n_low int, low array<bigint>, high array<bigint>"
+OWN = pa.struct([("id", pa.int64()), ("key", pa.binary())])
 
 
 def ngram_sets(texts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,11 +104,11 @@ def _profiles(width: int, num: int, den: int, cut: int):
                 lows.append(signed[b:b + m])
                 highs.append(signed[b + m:b + max(m, window)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes.astype(np.int32)), pa.array(h1.view(np.int64)),
+                [pa.array(ids, OWN), pa.array(sizes.astype(np.int32)), pa.array(h1.view(np.int64)),
                  pa.array(h2.view(np.int64)), pa.array([c.tobytes() for c in cells], pa.binary()),
                  pa.array(n_low.astype(np.int32)), pa.array(lows, pa.list_(pa.int64())),
                  pa.array(highs, pa.list_(pa.int64()))],
-                names=["_id", "n", "h1", "h2", "cells", "n_low", "low", "high"])
+                names=["own", "n", "h1", "h2", "cells", "n_low", "low", "high"])
     return run
 
 
@@ -254,21 +257,28 @@ def _cluster_edges(width: int, num: int, den: int):
 def join(df: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: ``id_col``, n_shingles, class_id (smallest id with the same set),
-    component_id (smallest id that links reach).  A link: ``den * |x & y| >= num * |x | y|``."""
-    rows = id_and_text(df, id_col, text_col)
+    component_id (smallest id that links reach), row_key (:func:`~attrition.llm.suffix.text_key`), kept
+    (whether the row is its component's first).  A link: ``den * |x & y| >= num * |x | y|``."""
+    rows = id_and_text(df, id_col, text_col).select(
+        F.struct(F.col("_id").alias("id"), text_key(F.col("_text")).alias("key")).alias("own"), "_text")
     tasks = shuffle_partitions(df.sparkSession)
     cut = min((3 * (den - num) << 64) // (2 * den), (1 << 64) - 1)
-    profile = stored(rows.mapInArrow(trimmed(_profiles(width, num, den, cut)), PROFILE), "profiles")
-    sets = profile.filter("n > 0 AND _id IS NOT NULL")
-    classes = stored(sets.groupBy("h1", "h2", "n").agg(F.min("_id").alias("class_id")), "classes")
+    # _id is the row's number from here on
+    profile = stored(rows.mapInArrow(trimmed(_profiles(width, num, den, cut)), PROFILE).withColumn(
+        "_id", F.monotonically_increasing_id()), "profiles")
+    sets = profile.filter("n > 0")
+    rank = F.struct(F.col("own.id").isNull().alias("none"), "own.id", "own.key")
+    classes = stored(sets.groupBy("h1", "h2", "n").agg(
+        F.min(F.struct("_id", "own.key")).alias("_one"), F.min(rank).alias("first")).select(
+        "h1", "h2", "n", F.col("_one._id").alias("class"), F.col("_one.key").alias("key"), "first"), "classes")
 
     counted = sets.select("_id", F.explode("low").alias("s"))
     often = counted.groupBy("s").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = counted.join(often, "s").groupBy("_id").agg(
         F.sort_array(F.collect_list(F.struct("c", "s"))).alias("shared"))
     window = F.expr(f"n - ceil({num}L * n / {den}) + 1")   # exact: the quotient is far below 2**53
-    one_each = classes.select(F.col("class_id").alias("_id"))
-    whole = sets.join(one_each, "_id", "left_semi").select("_id", "n", "n_low", "cells", "high").dropDuplicates(["_id"])
+    one_each = classes.select(F.col("class").alias("_id"))
+    whole = sets.join(one_each, "_id", "left_semi").select("_id", "n", "n_low", "cells", "high")
     take = F.greatest(F.lit(0), window - F.col("n_low") + F.size("shared")).cast("int")
     placed = whole.join(shared, "_id", "left").withColumn("shared", F.coalesce("shared", F.array().cast(
         "array<struct<c:bigint,s:bigint>>")))
@@ -279,19 +289,29 @@ def join(df: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str
             .select("s", "lo", "hi", "n", "_id", "second", "cells").mapInArrow(trimmed(_region_edges(num, den)), "a bigint, b bigint"))
     clusters = components(near).select(F.col("id").alias("_id"), F.col("component").alias("cluster"))
 
-    members = rows.join(clusters, "_id").select("cluster", "_id", "_text").dropDuplicates(["cluster", "_id"])
+    wanted = clusters.join(classes.select(F.col("class").alias("_id"), "key"), "_id")
+    members = rows.select(F.col("own.key").alias("key"), "_text").join(wanted, "key").select(
+        "cluster", "_id", "_text").dropDuplicates(["cluster", "_id"])
     dealt = in_blocks(stored(members, "members"), "cluster", CLUSTER_ROWS)
     links = (dealt.repartition(tasks, "cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
              .select("cluster", "lo", "hi", "_id", "second", "_text")
              .mapInArrow(trimmed(_cluster_edges(width, num, den)), "a bigint, b bigint"))
-    found = components(links).select(F.col("id").alias("class_id"), F.col("component").alias("component_id"))
-    return (profile.select("_id", "n", "h1", "h2").join(classes, ["h1", "h2", "n"], "left").join(found, "class_id", "left")
-            .select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("_id").isNotNull(), F.coalesce("class_id", "_id")).alias("class_id"),
-                    F.when(F.col("_id").isNotNull(), F.coalesce("component_id", "class_id", "_id")).alias("component_id")))
-
-
-def keep_one(df: DataFrame, joined: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``df`` whose document is the smallest of its component (null ids stay)."""
-    drop = stored(joined.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "dropped")
-    return df.join(drop, id_col, "left_anti")
+    linked = classes.join(components(links).select(F.col("id").alias("class"), "component"), "class", "left").select(
+        "h1", "h2", "n", "first", F.coalesce("component", "class").alias("component"))
+    heads = linked.groupBy("component").agg(F.min("first").alias("head"))
+    found = linked.join(heads, "component").select("h1", "h2", "n", "first", "head")
+    own = F.col("own.id")
+    return (profile.select("own", "n", "h1", "h2").join(found, ["h1", "h2", "n"], "left")
+            .select(own.alias(id_col), F.col("n").cast("long").alias("n_shingles"),
+                    F.when(own.isNotNull(), F.coalesce("first.id", "own.id")).alias("class_id"),
+                    F.when(own.isNotNull(), F.coalesce("head.id", "own.id")).alias("component_id"),
+                    F.col("own.key").alias("row_key"),
+                    (F.col("head").isNull() | rank.eqNullSafe(F.col("head"))).alias("kept")))
+
+
+def keep_one(df: DataFrame, joined: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that are the first of their component (rows equal in id and text stay together)."""
+    drop = stored(joined.filter(~F.col("kept")).select(
+        F.col(id_col).alias("__x_id"), F.col("row_key").alias("__x_key")).distinct(), "dropped")
+    return df.join(drop, F.col(id_col).cast("long").eqNullSafe(F.col("__x_id"))
+                   & (text_key(F.coalesce(F.col(text_col), F.lit(""))) == F.col("__x_key")), "left_anti")

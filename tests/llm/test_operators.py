@@ -175,6 +175,18 @@ def test_jaccard_edges(empty, spark):
     assert [c for null, c in got if not null] == [1, 1, 1] and [c for null, c in got if null] == [None]
 
 
+def test_jaccard_rows_that_repeat_an_id_or_have_none(spark):
+    rng = random.Random(9)
+    one, two, three = (" ".join(f"w{rng.randrange(9999)}" for _ in range(60)) for _ in range(3))
+    rows = [(5, one), (5, two), (3, one + " end"), (7, two + " end"), (None, three), (None, three + " end"), (9, "alone on its own here now")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    joined = jaccard.join(df, 5, 4, 5)
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in joined.collect()) == [(0, 0), (0, 0), (3, 3), (5, 3), (5, 5), (7, 5), (9, 9)]
+    left = [(r.doc_id, r.text) for r in jaccard.keep_one(df, joined).collect()]
+    first = min((three, three + " end"), key=lambda t: hashlib.sha256(t.encode()).digest())
+    assert sorted(left, key=str) == sorted([(3, one + " end"), (5, two), (9, rows[-1][1]), (None, first)], key=str)
+
+
 def test_pivot_regions_find_every_component():
     rng = np.random.default_rng(2)
     centres = rng.integers(0, 1 << 40, (12, 90), dtype=np.uint64)
