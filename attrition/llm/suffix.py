@@ -26,6 +26,7 @@ repeated ids are rows like any other; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -298,7 +299,7 @@ def _repeats(length: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], as_text: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: dict[str, list] = {k: [] for k in ("key", "n_bytes", "spans", "kept")}
         for row in batch.to_pylist():
@@ -314,12 +315,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for a, b in merged:
                 kept.append(raw[at:a])
                 at = b
-            for k, v in (("key", row["key"]), ("n_bytes", len(raw)), ("kept", b"".join([*kept, raw[at:]])),
+            kept.append(raw[at:])
+            # by piece: bytes of two cut characters never make a third
+            left = "".join(x.decode(errors="ignore") for x in kept) if as_text else b"".join(kept)
+            for k, v in (("key", row["key"]), ("n_bytes", len(raw)), ("kept", left),
                          ("spans", [{"start": a, "stop": b} for a, b in merged])):
                 out[k].append(v)
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, t) for v, t in zip(out.values(), (
-                pa.binary(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])), pa.binary()),
+                pa.binary(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])),
+                pa.string() if as_text else pa.binary()),
                 strict=True)], names=list(out))
 
 
@@ -329,9 +334,10 @@ def text_key(text_col):
 
 
 def repeated_spans(df: DataFrame, length: int = 400, gram: int = 48, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", as_text: bool = False) -> DataFrame:
     """One row per different text of ``length`` bytes or more: key (see :func:`text_key`), n_bytes,
-    spans (start, stop of every maximal removed run, ascending), kept (the bytes left)."""
+    spans (start, stop of every maximal removed run, ascending), kept (the bytes left, or with
+    ``as_text`` the whole characters left)."""
     tasks = shuffle_partitions(df.sparkSession)
     rows = id_and_text(df, id_col, text_col).filter(F.octet_length("_text") >= length)
     texts = stored_by_key(rows.groupBy(text_key(F.col("_text")).alias("key")).agg(
@@ -356,14 +362,14 @@ def repeated_spans(df: DataFrame, length: int = 400, gram: int = 48, id_col: str
               .mapInArrow(trimmed(_repeats(length)), "key binary, start bigint, stop bigint"))
     spans = whole.unionByName(partly).groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return texts.join(spans, "key", "left").select("key", "text", "copies", "spans").mapInArrow(
-        trimmed(_cut), "key binary, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, kept binary")
+        trimmed(partial(_cut, as_text=as_text)), "key binary, n_bytes bigint, spans array<struct<start:bigint,stop:bigint>>, "
+        + ("kept string" if as_text else "kept binary"))
 
 
 def remove_repeats(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``df`` with the repeated strings cut out of ``text_col`` (a character cut in part goes too)."""
-    found = repeated_spans(df, length, id_col=id_col, text_col=text_col).filter(F.size("spans") > 0)
-    valid = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\uFFFD", "")
-    changed = found.select(F.col("key").alias("__x_key"), valid.alias("__x_text"))
+    found = repeated_spans(df, length, id_col=id_col, text_col=text_col, as_text=True).filter(F.size("spans") > 0)
+    changed = found.select(F.col("key").alias("__x_key"), F.col("kept").alias("__x_text"))
     rows = df.withColumn("__x_own", text_key(F.coalesce(F.col(text_col), F.lit(""))))
     return rows.join(changed, F.col("__x_own") == F.col("__x_key"), "left").select(
         *[F.coalesce("__x_text", text_col).alias(text_col) if c == text_col else F.col(c) for c in df.columns])

@@ -248,6 +248,18 @@ def test_suffix_dedup(docs, empty, monkeypatch, most):
     assert suffix.remove_repeats(docs, length).columns == docs.columns
 
 
+def test_cut_keeps_replacement_characters_of_the_text(spark):
+    passage = "".join(random.Random(10).choices("abcdefghij ", k=260))
+    rows = [(1, f"a\ufffdb é{passage}\ufffd end"), (2, f"other è{passage}X"), (3, "un\ufffdchanged")]
+    got = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 200).collect()
+    # é and è share no last byte: only the passage goes
+    assert {r.doc_id: r.text for r in got} == {1: "a\ufffdb é\ufffd end", 2: "other èX", 3: "un\ufffdchanged"}
+    # the last byte of ĩ and é is the same and is cut with the passage: their first bytes go too
+    rows = [(1, f"\ufffd é{passage}"), (2, f"x ĩ{passage}\ufffd")]
+    got = suffix.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 200).collect()
+    assert {r.doc_id: r.text for r in got} == {1: "\ufffd ", 2: "x \ufffd"}
+
+
 def test_suffix_array_order_and_prefixes():
     rng = random.Random(3)
     strings = ["".join(rng.choices("ab", k=rng.randint(0, 60))).encode() for _ in range(20)]
