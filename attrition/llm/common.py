@@ -102,19 +102,24 @@ def text_chunks(batches: Iterator[pa.RecordBatch], max_chars: int) -> Iterator[t
         yield ids, texts
 
 
-def in_blocks(rows: DataFrame, key: str, most: int, by: str = "_id") -> DataFrame:
+def in_blocks(rows: DataFrame, key: str, most: int, by: str = "_id", weight: str | None = None,
+              heaviest: int = 0) -> DataFrame:
     """``rows`` of keys with two rows at least, with the pair of blocks (lo, hi) each goes to.
 
     A key with up to ``most`` rows is one block; one with more is dealt into blocks by a hash
-    of ``by``, and every row goes to the pairs that hold its block.
+    of ``by``, and every row goes to the pairs that hold its block.  With ``weight``, a block's rows
+    weigh about ``heaviest`` at most (a column of weights; no more blocks than rows).
     """
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_size")).filter("_size > 1")
+    total = F.sum(weight) if weight else F.lit(0)
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_size"), total.alias("_weight")).filter("_size > 1")
     blocks = F.ceil(F.col("_size") / most).cast("int")
+    if weight:
+        blocks = F.greatest(blocks, F.least(F.ceil(F.col("_weight") / heaviest), "_size").cast("int"))
     return (rows.join(sizes, key).withColumn("_own", F.pmod(F.xxhash64(by), blocks).cast("int"))
             .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
             .withColumns({"lo": F.least("_own", "_other"), "hi": F.greatest("_own", "_other")})
             .withColumn("second", (F.col("lo") != F.col("hi")) & (F.col("_own") == F.col("hi")))
-            .drop("_size", "_own", "_other"))
+            .drop("_size", "_weight", "_own", "_other"))
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key_columns: int) -> Iterator[pa.Table]:

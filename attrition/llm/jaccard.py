@@ -48,6 +48,7 @@ CHUNK_CHARS = 1 << 19
 CELLS = 64
 REGION_ROWS = 1024          # more rows of a region, or documents of a cluster, go to pairs of blocks
 CLUSTER_ROWS = 1024
+CLUSTER_BYTES = 1 << 24     # text in a cluster's block
 LEAF, PIVOTS = 48, 8
 STEP = U64(0x9E3779B97F4A7C15)
 PROFILE = "own struct<id:bigint,key:binary>, n int, h1 bigint, h2 bigint, cells binary, n_low int, low array<bigint>, high array<bigint>"
@@ -291,8 +292,8 @@ def join(df: DataFrame, width: int = 5, num: int = 4, den: int = 5, id_col: str
 
     wanted = clusters.join(classes.select(F.col("class").alias("_id"), "key"), "_id")
     members = rows.select(F.col("own.key").alias("key"), "_text").join(wanted, "key").select(
-        "cluster", "_id", "_text").dropDuplicates(["cluster", "_id"])
-    dealt = in_blocks(stored(members, "members"), "cluster", CLUSTER_ROWS)
+        "cluster", "_id", "_text", F.octet_length("_text").cast("long").alias("_bytes")).dropDuplicates(["cluster", "_id"])
+    dealt = in_blocks(stored(members, "members"), "cluster", CLUSTER_ROWS, weight="_bytes", heaviest=CLUSTER_BYTES)
     links = (dealt.repartition(tasks, "cluster", "lo", "hi").sortWithinPartitions("cluster", "lo", "hi")
              .select("cluster", "lo", "hi", "_id", "second", "_text")
              .mapInArrow(trimmed(_cluster_edges(width, num, den)), "a bigint, b bigint"))

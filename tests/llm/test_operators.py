@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 
 from attrition.llm import bpe, exact, jaccard, langid, packing, repair, sharding, simhash, suffix, token_counts
+from attrition.llm.common import in_blocks
 from attrition.llm.components import components
 
 RANKS, MODEL = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("tiktoken", "json"))
@@ -187,6 +188,18 @@ def test_jaccard_rows_that_repeat_an_id_or_have_none(spark):
     assert sorted(left, key=str) == sorted([(3, one + " end"), (5, two), (9, rows[-1][1]), (None, first)], key=str)
 
 
+def test_blocks_are_bounded_by_weight(spark):
+    rows = spark.createDataFrame([(k, 1, 100) for k in range(64)] + [(70, 2, 5000), (71, 2, 5000), (72, 3, 1), (73, 3, 1)],
+                                 "_id bigint, c bigint, size bigint")
+    pairs: dict[tuple, dict[int, bool]] = {}
+    for r in in_blocks(rows, "c", 1024, weight="size", heaviest=400).collect():
+        pairs.setdefault((r.c, r.lo, r.hi), {})[r._id] = r.second
+    assert max(len(v) for k, v in pairs.items() if k[0] == 1) <= 32    # 16 blocks of 4, dealt by hash
+    assert [v for k, v in pairs.items() if k[0] == 3] == [{72: False, 73: False}]
+    met = [(a, b) for (_, lo, hi), v in pairs.items() for a in v for b in v if a < b and (lo == hi or v[a] != v[b])]
+    assert sorted(met) == [(a, b) for a in range(64) for b in range(a + 1, 64)] + [(70, 71), (72, 73)]
+
+
 def test_pivot_regions_find_every_component():
     rng = np.random.default_rng(2)
     centres = rng.integers(0, 1 << 40, (12, 90), dtype=np.uint64)
