@@ -9,7 +9,9 @@
    again by position.
 
 A very common word is one entry per block, so it is no hot key, and buckets
-are even because they are dealt by a hash of the distinct word.  Null texts count as
+are even because they are dealt by a hash of the distinct word.  Words are told apart by their letters.
+The cut knows the published byte-level pattern; with another pattern, or in a text with code points that
+Python's Unicode tables do not know, the whole text is one word, which the library cuts itself.  Null texts count as
 empty (no ids); repeated or null document ids are kept as they are, one result
 row per input row; an empty table gives an empty result.
 """
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from attrition.llm.common import (id_and_text, pack_planes, shuffle_partitions, spans_index, stored_by_key,
                                   text_chunks, trimmed, unpack_planes)
-from attrition.llm.pieces import split
+from attrition.llm.pieces import BYTE_LEVEL_PATTERN, odd_text, split
 
 CHUNK_CHARS = 1 << 20
 BLOCK_CHARS = 12 << 20
@@ -59,8 +62,11 @@ def _unpack_words(blob: bytes) -> list[bytes]:
 
 
 class _Block:
-    def __init__(self) -> None:
-        self.index: dict[int, int] = {}
+    """Documents of a block as places in its list of distinct words."""
+
+    def __init__(self, n_buckets: int, whole: bool):
+        self.n_buckets, self.whole = n_buckets, whole   # whole: each text is one word
+        self.index: dict[str, int] = {}
         self.words: list[str] = []
         self.bucket_of: list[int] = []
         self.ids: list = []
@@ -68,26 +74,34 @@ class _Block:
         self.parts: list[np.ndarray] = []
         self.chars = 0
 
-    def add(self, ids: list, texts: list[str], n_buckets: int) -> None:
-        parts = split(texts)
+    def place(self, word: str) -> int:
+        at = self.index.get(word)
+        if at is None:
+            at = self.index[word] = len(self.words)
+            self.words.append(word)
+            self.bucket_of.append(zlib.crc32(word.encode()) % self.n_buckets)
+        return at
+
+    def add(self, ids: list, texts: list[str]) -> None:
+        single = {k for k, t in enumerate(texts) if t and (self.whole or odd_text(t))}
+        parts = split(["" if k in single else t for k, t in enumerate(texts)] if single else texts)
         self.ids += ids
-        self.pieces += parts.per_doc.tolist()
-        self.chars += len(parts.text)
-        if not len(parts.starts):
-            return
-        distinct, first, inverse = np.unique(parts.hashes(), return_index=True, return_inverse=True)
-        place = np.empty(len(distinct), np.int64)
-        for k, h in enumerate(distinct.tolist()):
-            at = self.index.get(h)
-            if at is None:
-                at = self.index[h] = len(self.words)
-                self.words.append(parts.piece(first[k]))
-                self.bucket_of.append(h % n_buckets)
-            place[k] = at
-        self.parts.append(place[inverse].astype(np.int32))
-
-    def row(self, n_buckets: int) -> dict:
-        n = len(self.words)
+        self.chars += sum(map(len, texts))
+        counts = parts.per_doc.copy()
+        places = np.zeros(0, np.int32)
+        if len(parts.starts):
+            first, inverse = parts.distinct()
+            places = np.array([self.place(w) for w in parts.strings(first)], np.int32)[inverse]
+        if single:
+            at = sorted(single)
+            before = (np.cumsum(counts) - counts)[at]
+            places = np.insert(places, before, [self.place(texts[k]) for k in at])
+            counts[at] = 1
+        self.pieces += counts.tolist()
+        self.parts.append(places)
+
+    def row(self) -> dict:
+        n, n_buckets = len(self.words), self.n_buckets
         places = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
         by_freq = np.argsort(-np.bincount(places, minlength=n), kind="stable")
         rank = np.empty(n, np.uint32)
@@ -101,18 +115,18 @@ class _Block:
                 "buckets": pack_planes(bucket), "words": words}
 
 
-def _block_batches(n_buckets: int, block_chars: int):
+def _block_batches(n_buckets: int, block_chars: int, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block()
+        block = _Block(n_buckets, whole)
 
         def emit() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([block.row(n_buckets)], schema)
+            return pa.RecordBatch.from_pylist([block.row()], schema)
 
         for ids, texts in text_chunks(batches, CHUNK_CHARS):
-            block.add(ids, texts, n_buckets)
+            block.add(ids, texts)
             if block.chars >= block_chars:
                 yield emit()
-                block = _Block()
+                block = _Block(n_buckets, whole)
         if block.ids:
             yield emit()
 
@@ -189,7 +203,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     """
     n_buckets = n_buckets or max(64, shuffle_partitions(df.sparkSession))
     blocks = stored_by_key(id_and_text(df, id_col, text_col).mapInArrow(
-        trimmed(_block_batches(n_buckets, block_chars)), BLOCK_SCHEMA), "bpe_blocks", "block", n_buckets)
+        trimmed(_block_batches(n_buckets, block_chars, pattern != BYTE_LEVEL_PATTERN)), BLOCK_SCHEMA), "bpe_blocks", "block", n_buckets)
     answers = (blocks.select("block", F.explode("words").alias("w")).select("block", "w.bucket", "w.words")
                .repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
                .mapInArrow(trimmed(_encode_buckets(ranks_path, pattern)),

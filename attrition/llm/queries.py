@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from attrition.llm import bpe, exact, jaccard, langid, packing, repair, sharding, simhash, suffix, token_counts
+from attrition.llm import (bestfit, bpe, exact, jaccard, langid, packing, periodic, repair, shallot, sharding, simhash,
+                           suffix, token_counts)
 from attrition.llm.common import unsigned_crc32
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLE: dict[str, str] = {}
 RANKS = "byte_bpe_50k.tiktoken"
 MODEL = "byte_bpe_50k.json"
+WORD_MODEL = "word_bpe_49k.json"
 
 
 def register(fn):
@@ -147,3 +151,78 @@ def op5_suffix_dedup(spark, sf_dir):
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
         F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+
+
+@register
+def op11_best_fit(spark, sf_dir):
+    """Every document in sequences of at most 2048 tokens, only longer ones cut."""
+    return bestfit.pack(_documents(spark, sf_dir), public_tokenizers.path(WORD_MODEL), keep_ids=False).drop("ids")
+
+
+N_CENTROIDS, ROUNDS, DIMENSIONS, SALT = 40, 5, 64, "2:"
+
+
+@register
+def op12_shallot(spark, sf_dir):
+    """All vectors of 64 finite components in 40 clusters after five rounds."""
+    rows, table = shallot.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), N_CENTROIDS, ROUNDS, DIMENSIONS,
+                                  salt=SALT)
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    # one row per centroid: 40 at most
+    clusters = table.select("cluster", F.col("inertia").cast("long").alias("cluster_inertia"),
+                            F.sum("inertia").over(W.partitionBy()).cast("long").alias("inertia"),
+                            digest.alias("centroid_sha256"))
+    return rows.join(F.broadcast(clusters), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _shallot_sql() -> str:
+    """The same rounds with every distance worked out."""
+    def assigned(centroids: str) -> str:
+        return f"""SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min(struct_pack(
+  d := list_sum(list_transform(list_zip(v, p), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, c := cluster)) AS best
+FROM kept, {centroids} GROUP BY r"""
+
+    steps = [f"""WITH kept AS MATERIALIZED (
+SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {DIMENSIONS} AND len(embedding) = {DIMENSIONS}),
+c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h) - 1)::INTEGER AS cluster, v AS p FROM (
+SELECT v, sha256('{SALT}' || vec_id) AS h FROM kept ORDER BY h LIMIT {N_CENTROIDS}))"""]
+    for k in range(ROUNDS):
+        steps.append(f"""a{k} AS MATERIALIZED ({assigned(f"c{k}")}),
+s{k} AS (SELECT best.c AS cluster, unnest(v)::HUGEINT AS x, generate_subscripts(v, 1) AS i FROM a{k}),
+t{k} AS (SELECT cluster, i, sum(x) AS s, count(*) AS n FROM s{k} GROUP BY cluster, i),
+m{k} AS (SELECT cluster, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS p FROM t{k} GROUP BY cluster),
+c{k + 1} AS MATERIALIZED (SELECT cluster, coalesce(m{k}.p, c{k}.p) AS p FROM c{k} LEFT JOIN m{k} USING (cluster))""")
+    return ",\n".join(steps) + f""",
+last AS ({assigned(f"c{ROUNDS}")})
+SELECT vec_id, best.c AS cluster, best.d AS distance, sum(best.d) OVER (PARTITION BY best.c)::BIGINT AS cluster_inertia,
+       sum(best.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(p, ',')) AS centroid_sha256
+FROM last JOIN c{ROUNDS} ON cluster = best.c"""
+
+
+_ORACLE["op12_shallot"] = _shallot_sql()
+
+
+def _refrain(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, by the checksum of the id, repeat a stretch from some word on."""
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    return words[:first] + [words[first + i % period] for i in range(n - first)]
+
+
+@register
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of at least four periods and six words in every document, and the text with each run's first period only."""
+    found = periodic.periodic_runs(_documents(spark, sf_dir), rewrite=_refrain).withColumn("top", periodic.longest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("top.start").alias("start"),
+        F.col("top.length").alias("length"), F.col("top.period").alias("period"),
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
