@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from attrition import oracle
 from attrition.functions import membership_flag, parse_date, relative_change, safe_ratio
 from attrition.operators import activity, ml, quality, subscriptions
+from attrition.operators.windows import month_end_windows
 from attrition.plans import features as feat
 from attrition.plans import summary, training
+from attrition.plans.features_asof import features_asof
 from attrition.plans.features_sql import features_sql
 from attrition.session import cut_lineage
 from attrition.sources import catalogue as cat
@@ -79,6 +81,12 @@ def q_export_profile(spark, sf):
     return feat.export_profile(_features(spark, sf)).orderBy("client_id")
 
 
+@register("features_asof", oracle.features_asof())
+def q_features_asof(spark, sf):
+    """The feature table at twelve month ends, every fact read once."""
+    return features_asof(load_tables(spark, sf), month_end_windows(spark, REF, oracle.ASOF_WINDOWS))
+
+
 @register("features_script_variant", oracle.features_script_variant())
 def q_features_script_variant(spark, sf):
     t = load_tables(spark, sf)
@@ -290,6 +298,16 @@ def q_csv_roundtrip(spark, sf):
     return files.read_csv(spark, path, df.schema)
 
 
+@register("csv_multiline", oracle.csv_multiline())
+def q_csv_multiline(spark, sf):
+    """Texts with newlines, quotes and commas written as CSV and read back by byte ranges."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    note = F.concat(F.lit('"'), F.col("source"), F.lit('", '), F.col("text"))
+    df = docs.select("doc_id", "lang", note.alias("note"))
+    back = files.read_csv(spark, files.write_csv(df, files.shared_dir(spark, "exports")), df.schema)
+    return back.select("doc_id", "lang", F.length("note").cast("long").alias("n_chars"), F.md5("note").alias("note_md5"))
+
+
 @register("dataset_summary", oracle.dataset_summary())
 def q_dataset_summary(spark, sf):
     return summary.dataset_summary(_features(spark, sf))

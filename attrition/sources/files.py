@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from attrition.session import ensure_checkpoint_dir
+from attrition.sources import csv_ranges
 
 
 # a field in quotes holds a quote as two; nothing is null and "" is the empty text; spaces stay
@@ -37,8 +38,8 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with header and the declared schema; a leading BOM on the first
+def read_csv_by_file(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV with header and the declared schema, one task per file; a leading BOM on the first
     header name is dropped by the reader.  Quoted fields may hold quotes, commas and newlines; empty
     fields are null, ``""`` is the empty text; a malformed row fails the read."""
     return (
@@ -51,6 +52,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of :func:`read_csv_by_file`, with every file dealt to tasks by byte ranges
+    (see :mod:`attrition.sources.csv_ranges`; the ranges' quotes are counted when this is called)."""
+    found = csv_ranges.records(spark, path)
+    if found is None:   # no newline inside a field: Spark splits such files itself
+        return (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
+                .options(mode="FAILFAST", **CSV_TEXT, **READ_EMPTY).csv(path))
+    return csv_ranges.parsed(found, schema, {"mode": "FAILFAST", "multiLine": "true", **CSV_TEXT, **READ_EMPTY})
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     w = df.write.mode("overwrite")
     if partition_by:
