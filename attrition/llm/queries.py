@@ -136,21 +136,25 @@ def op3_jaccard_join(spark, sf_dir):
         "doc_id", "n_shingles", "component_id")
 
 
+REPEAT = 400
+
+
 @register
 def op5_suffix_dedup(spark, sf_dir):
-    """Every document without the strings of 400 bytes that occur twice."""
+    """Every document without the strings of 400 bytes that occur twice, with the text that is left."""
     docs = _documents(spark, sf_dir)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
-    # digests of each different text before they meet the documents
-    texts = suffix.repeated_spans(docs, 400).select(
-        "key", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    # digests and texts of each different text; its table lies by key, so only the documents' ids move
+    texts = suffix.repeated_spans(docs, REPEAT).select(
+        "key", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept")
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("whole"),
-                       suffix.text_key(text).alias("key"))
+    rows = docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), suffix.text_key(text).alias("key"),
+                       F.when(F.octet_length(text) < REPEAT, F.encode(text, "UTF-8")).alias("short"))
+    kept = F.coalesce("kept", "short")
     return rows.join(texts, "key", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
-        F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.sha2(kept, 256).alias("kept_sha256"),
+        F.octet_length(kept).cast("long").alias("n_kept"), F.expr("make_valid_utf8(cast(coalesce(kept, short) AS string))").alias("text"))
 
 
 @register
