@@ -158,7 +158,7 @@ def spans_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def crc32_u32(ids: np.ndarray) -> int:
-    return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
+    return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").data)
 
 
 def pack_planes(values: np.ndarray) -> bytes:
