@@ -19,7 +19,7 @@ from functools import cached_property
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from attrition.operators import ml
+from attrition.operators import ml, newton
 from attrition.session import cut_lineage
 
 
@@ -63,6 +63,33 @@ def train_and_evaluate(features: DataFrame, c: float = ml.C, max_iter: int = ml.
     return TrainingResult(model=model, roles=roles, split=split, predictions=ml.predictions(model, test))
 
 
+@dataclass
+class NewtonResult:
+    """What :func:`train_newton` gives; ``predictions`` hold score, probability and prediction of the held-out rows."""
+
+    fit: newton.NewtonFit
+    model: PipelineModel
+    roles: ml.FrameRoles
+    split: DataFrame
+    predictions: DataFrame
+
+    @property
+    def terms(self) -> DataFrame:
+        return newton.terms(self.fit, self.split)
+
+    @property
+    def report(self) -> DataFrame:
+        return ml.classification_report(ml.confusion_counts(self.predictions))
+
+
+def train_newton(features: DataFrame, c: float = ml.C) -> NewtonResult:
+    """As :func:`train_and_evaluate`, fitted to the optimum by Newton steps."""
+    split, roles = prepare(features)
+    found = newton.fit(split.filter("split = 'train'"), roles, c=c)
+    model = newton.as_pipeline(found, roles)
+    return NewtonResult(found, model, roles, split, model.transform(split.filter("split = 'test'")))
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
