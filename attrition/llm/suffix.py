@@ -151,69 +151,75 @@ class SuffixArray:
 
     def __init__(self, strings: list[bytes], depth: int):
         self.depth = depth
-        self.data = np.frombuffer(b"".join(strings), np.uint8)
-        sizes = np.array([len(s) for s in strings], np.int64)
-        self.starts, self.sizes = np.cumsum(sizes) - sizes, sizes
-        self.end = np.repeat(self.starts + sizes, sizes)
+        joined = b"".join(strings) + bytes(8)
+        self.data = np.frombuffer(joined, np.uint8)[:-8]
         n = len(self.data)
-        places = np.arange(n, dtype=np.int64)
-        key = np.zeros(n, np.int64)
-        for k in range(7):  # the first seven bytes, each 1-256, 0 after the end
-            at = places + k
-            inside = at < self.end
-            key = key << 9 | np.where(inside, self.data[np.minimum(at, n - 1)].astype(np.int64) + 1, 0)
-        self.order = np.argsort(key, kind="stable")
-        self.rank = np.empty(n, np.int64)
+        # the eight bytes from every place
+        self.lanes = np.ndarray((n,), "<u8", joined, strides=(1,))
+        sizes = np.array([len(s) for s in strings], np.int32)
+        ends = np.cumsum(sizes, dtype=np.int32)
+        self.starts, self.sizes = ends - sizes, sizes
+        self.end = np.repeat(ends, sizes)
+        # the first seven bytes, then how many of them there are
+        key = self.lanes.byteswap() >> U64(8) << U64(3) | U64(7)
+        tail = np.concatenate([ends[sizes >= k] - k for k in range(1, 7)]) if n else ends[:0]
+        held = (self.end[tail] - tail).astype(U64)
+        spare = U64(8) * (U64(7) - held) + U64(3)
+        key[tail] = key[tail] >> spare << spare | held
+        self.order = np.argsort(key).astype(np.int32)
+        self.rank = np.empty(n, np.int32)
         known, longest = 7, int(sizes.max(initial=0))
-        slots, keys = places, key[self.order]   # places in ``order`` that are still open, and their sort keys
+        slots, keys = np.arange(n, dtype=np.int32), key[self.order]   # places in ``order`` that are still open, and their sort keys
         while True:
             new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
             first = np.flatnonzero(new)
-            group_start = slots[first]
             sizes_of = np.diff(np.append(first, len(keys)))
-            self.rank[self.order[slots]] = np.repeat(group_start, sizes_of)
-            open_groups = np.repeat(sizes_of > 1, sizes_of)
-            slots = slots[open_groups]
+            self.rank[self.order[slots]] = np.repeat(slots[first], sizes_of)
+            slots = slots[np.repeat(sizes_of > 1, sizes_of)]
+            suffix = self.order[slots]
             if known >= longest or not len(slots):
                 break
-            suffix = self.order[slots]
-            after = suffix + known
+            after = suffix + np.int32(known)
             inside = after < self.end[suffix]
-            following = np.where(inside, self.rank[np.minimum(after, n - 1)] + 1, 0)
+            following = np.where(inside, self.rank[np.where(inside, after, 0)] + 1, 0)
             keys = self.rank[suffix] * np.int64(n + 1) + following
             resort = np.argsort(keys, kind="stable")
             keys = keys[resort]
             self.order[slots] = suffix[resort]
             known *= 2
+        # suffixes that are equal to their ends, in the strings' order
+        self.order[slots] = suffix[np.argsort(self.rank[suffix] * np.int64(n + 1) + suffix)]
 
     def common_prefixes(self) -> np.ndarray:
         """Kasai: bytes (``depth`` at most) that each place of ``order`` shares with the one before.
 
         All strings advance in step, one suffix each at a time; the common
-        prefix of a string's next suffix is at most one shorter.
+        prefix of a string's next suffix is at most one shorter.  Bytes are compared eight at a time.
         """
         n = len(self.data)
-        place = np.empty(n, np.int64)
-        place[self.order] = np.arange(n)
-        out = np.zeros(n, np.int64)
+        place = np.empty(n, np.int32)
+        place[self.order] = np.arange(n, dtype=np.int32)
+        out = np.zeros(n, np.int32)
         live = np.flatnonzero(self.sizes > 0)
-        shared = np.zeros(len(live), np.int64)
+        shared = np.zeros(len(live), np.int32)
         for step in range(int(self.sizes.max(initial=0))):
             keep = self.sizes[live] > step
-            live, shared = live[keep], shared[keep]
-            suffix = self.starts[live] + step
+            if not keep.all():
+                live, shared = live[keep], shared[keep]
+            suffix = self.starts[live] + np.int32(step)
             at = place[suffix]
             before = self.order[np.maximum(at - 1, 0)]
-            shared = np.where(at > 0, np.maximum(shared - 1, 0), 0)
             room = np.minimum(np.minimum(self.end[suffix] - suffix, self.end[before] - before), self.depth)
             room[at == 0] = 0
+            shared = np.minimum(np.maximum(shared - 1, 0), room)
             grow = np.flatnonzero(shared < room)
             while len(grow):
-                same = self.data[suffix[grow] + shared[grow]] == self.data[before[grow] + shared[grow]]
-                grow = grow[same]
-                shared[grow] += 1
-                grow = grow[shared[grow] < room[grow]]
-            shared = np.minimum(shared, room)
+                from_ = shared[grow]
+                differ = self.lanes[suffix[grow] + from_] ^ self.lanes[before[grow] + from_]
+                # equal bytes at the front: those below the lowest bit that differs
+                from_ += (np.bitwise_count((differ & (~differ + U64(1))) - U64(1)) >> 3).astype(np.int32)
+                shared[grow] = np.minimum(from_, room[grow])
+                grow = grow[(differ == 0) & (from_ < room[grow])]
             out[at] = shared
         return out
 
