@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.functions import exact_avg, in_period, relative_change
+from attrition.functions import exact_avg, in_period, relative_change, same_text
 from attrition.operators.ranking import ordered_position
 from attrition.sources.schema import THEME_CANCELLATION
 
@@ -47,7 +47,7 @@ def agg_support(interactions: DataFrame, start: dt.date, ref: dt.date, count_nul
     i = interactions.filter(in_period(F.col("date_interaction"), start, ref))
     return i.groupBy("client_id").agg(
         F.count(F.lit(1) if count_nulls else F.col("theme")).alias("nb_interactions_support"),
-        F.count_if(F.col("theme") == THEME_CANCELLATION).alias("nb_contacts_resiliation"),
+        F.count_if(same_text(F.col("theme"), THEME_CANCELLATION)).alias("nb_contacts_resiliation"),
         F.avg("resolution_satisfaisante").alias("taux_resolution_satisfaisante"),
     )
 

@@ -15,6 +15,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from attrition.functions import one_spelling
 from attrition.operators.ranking import ordered_position
 from attrition.sources.schema import DOMAINS, TableContract
 
@@ -109,7 +110,8 @@ def conform(df: DataFrame, contract: TableContract, null_as_default: bool = Fals
 
     A column missing from ``df`` takes its default (``DEFAULT`` semantics of
     an INSERT that omits the column); ``null_as_default`` also replaces
-    explicit nulls.  ``created_at`` defaults to the current timestamp.
+    explicit nulls.  ``created_at`` defaults to the current timestamp.  Values of a
+    column's domain take one spelling, however a feed stores their accents.
     """
     present = set(df.columns)
     cols = []
@@ -126,6 +128,9 @@ def conform(df: DataFrame, contract: TableContract, null_as_default: bool = Fals
                 value = F.col(name)
         else:
             value = F.col(name) if name in present else F.lit(None)
+        allowed = DOMAINS.get((contract.name, name), ())
+        if allowed and all(isinstance(v, str) for v in allowed):
+            value = one_spelling(value, allowed)
         cols.append(value.cast(dtype).alias(name))
     return df.select(*cols)
 

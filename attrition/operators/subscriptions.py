@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.functions import calendar_months, flag, months_30day
+from attrition.functions import calendar_months, flag, months_30day, same_text
 from attrition.sources.schema import STATUS_CANCELLED
 
 def latest_first():
@@ -95,5 +95,5 @@ def with_tenure(latest: DataFrame, ref: dt.date, mode: str = "calendar") -> Data
 
 
 def churn_flag(start: dt.date):
-    """``statut = 'résilié' AND date_fin >= start`` -> 1, else 0 (null end -> 0)."""
-    return flag((F.col("statut") == STATUS_CANCELLED) & (F.col("date_fin") >= F.lit(start)))
+    """``statut = 'résilié' AND date_fin >= start`` -> 1, else 0 (null end -> 0), however the accents are stored."""
+    return flag(same_text(F.col("statut"), STATUS_CANCELLED) & (F.col("date_fin") >= F.lit(start)))

@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attrition.functions import calendar_months, flag, relative_change, safe_ratio
+from attrition.functions import calendar_months, flag, relative_change, safe_ratio, same_text
 from attrition.operators.activity import BANDS, RECENT
 from attrition.operators.subscriptions import product_lookup
 from attrition.operators.windows import segment_windows, segments, to_windows, with_segment
@@ -44,7 +44,7 @@ def support_asof(interactions: DataFrame, pieces: DataFrame, members: DataFrame)
     own = with_segment(interactions.select("client_id", "date_interaction", "theme", "resolution_satisfaisante"),
                        "date_interaction", pieces)
     sums = own.groupBy("client_id", "segment").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("theme") == THEME_CANCELLATION).alias("leaving"),
+        F.count(F.lit(1)).alias("n"), F.count_if(same_text(F.col("theme"), THEME_CANCELLATION)).alias("leaving"),
         F.sum(F.col("resolution_satisfaisante").cast("long")).alias("good"), F.count("resolution_satisfaisante").alias("rated"))
     return to_windows(sums, members).groupBy("window_id", "client_id").agg(
         F.sum("n").alias("nb_interactions_support"), F.sum("leaving").alias("nb_contacts_resiliation"),
@@ -138,5 +138,5 @@ def features_asof(tables: Mapping[str, DataFrame], windows: DataFrame) -> DataFr
         F.coalesce("connexions_3mois_avant", F.lit(0.0)).alias("connexions_moy_3mois_avant"),
         F.coalesce("total_volume_go_12_mois", zero).alias("total_volume_go_12_mois"),
         relative_change(F.col("connexions_3derniers_mois"), F.col("connexions_3mois_avant")).alias("evolution_connexions_ratio"),
-        flag((F.col("statut") == STATUS_CANCELLED) & (F.col("date_fin") >= F.col("start"))).alias("churn"))
+        flag(same_text(F.col("statut"), STATUS_CANCELLED) & (F.col("date_fin") >= F.col("start"))).alias("churn"))
     return out.select("window_id", "ref", *EXPORT_COLUMNS)

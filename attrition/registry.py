@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from attrition import oracle
-from attrition.functions import membership_flag, parse_date, relative_change, safe_ratio
+from attrition.functions import membership_flag, parse_date, relative_change, safe_ratio, same_text
 from attrition.operators import activity, ml, quality, subscriptions
 from attrition.operators.windows import month_end_windows
 from attrition.plans import features as feat
@@ -23,7 +23,7 @@ from attrition.plans.features_asof import features_asof
 from attrition.plans.features_sql import features_sql
 from attrition.session import cut_lineage
 from attrition.sources import catalogue as cat
-from attrition.sources import files
+from attrition.sources import files, store
 from attrition.sources.schema import DOMAINS, EXPORT_COLUMNS, TABLES, contracts
 from attrition.sources.testtables import TEST_REF, TEST_START, load_tables
 from pyspark.sql import types as T
@@ -89,7 +89,7 @@ def q_features_asof(spark, sf):
 def q_features_script_variant(spark, sf):
     t = load_tables(spark, sf)
     # the script labels by membership in a set of client ids: here, those who ever cancelled in the period
-    left = t["abonnements"].filter((F.col("statut") == "résilié") & (F.col("date_fin") >= F.lit(START)))
+    left = t["abonnements"].filter(same_text(F.col("statut"), "résilié") & (F.col("date_fin") >= F.lit(START)))
     return feat.features_script_variant(t, REF, START, label_ids=left.select("client_id"))
 
 
@@ -237,7 +237,7 @@ def q_late_ratio(spark, sf):
 @register("membership_flag", oracle.membership_flag())
 def q_membership_flag(spark, sf):
     t = load_tables(spark, sf)
-    ids = t["interactions_support"].filter(F.col("theme") == "résiliation").select("client_id")
+    ids = t["interactions_support"].filter(same_text(F.col("theme"), "résiliation")).select("client_id")
     return membership_flag(t["clients"].select("client_id"), ids, "client_id", "in_set")
 
 
@@ -371,6 +371,37 @@ def q_dq_domain(spark, sf):
     return _union(parts)
 
 
+def _decomposed(df: DataFrame, key: str, column: str) -> DataFrame:
+    """Every other row's accents as combining signs, every eleventh value null."""
+    text = F.when(F.col(key) % 2 == 0, F.replace(column, F.lit("é"), F.lit("e\u0301"))).otherwise(F.col(column))
+    return df.withColumn(column, F.when(F.col(key) % 11 != 0, text))
+
+
+@register("features_accent_forms", oracle.features_accent_forms())
+def q_features_accent_forms(spark, sf):
+    """The export features where half the accents of statuses and themes are stored decomposed and some values are null."""
+    t = dict(load_tables(spark, sf))
+    t["abonnements"] = _decomposed(t["abonnements"], "abonnement_id", "statut")
+    t["interactions_support"] = _decomposed(t["interactions_support"], "interaction_id", "theme")
+    return feat.build_features(t, REF, START)
+
+
+@register("ingest_spelling", oracle.ingest_spelling())
+def q_ingest_spelling(spark, sf):
+    """Values of a domain take one spelling when a feed is conformed to its table."""
+    feed = _decomposed(load_tables(spark, sf)["abonnements"], "abonnement_id", "statut")
+    return quality.conform(feed, CONTRACTS["abonnements"]).select("abonnement_id", "statut")
+
+
+@register("ingest_insert", oracle.ingest_defaults())
+def q_ingest_insert(spark, sf):
+    """The same feed through a catalogue table with DEFAULT clauses and an INSERT that names four columns."""
+    feed = load_tables(spark, sf)["usage_mensuel"].select("usage_id", "client_id", "mois", "nb_connexions")
+    with store.catalogue_tables(spark, {"usage_mensuel": CONTRACTS["usage_mensuel"]}, partitioned=False) as tables:
+        tables.insert("usage_mensuel", feed)
+        return tables.stored("usage_mensuel").drop("created_at")
+
+
 @register("ingest_defaults", oracle.ingest_defaults())
 def q_ingest_defaults(spark, sf):
     """A usage feed that omits volume and call minutes: column defaults fill them."""

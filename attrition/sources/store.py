@@ -23,11 +23,14 @@ would make one bucket -- and one scan task -- hold a third of the table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from attrition.sources.schema import TABLES, contracts
+from attrition.sources.files import shared_dir
+from attrition.sources.schema import TABLES, TableContract, contracts
 
 PRIMARY_KEYS = {name: c.primary_key for name, c in contracts().items()}
 
@@ -81,6 +84,72 @@ def load_tables(spark: SparkSession, location: str, schemas: Mapping[str, object
     return out
 
 
+SQL_DEFAULTS = {type(None): lambda v: "localtimestamp()", str: lambda v: "'" + v.replace("'", "\\'") + "'"}
+
+
+def create_table_sql(name: str, contract: TableContract, location: str, partitioned: bool = True) -> str:
+    """The table as Spark SQL: types, NOT NULL and DEFAULT clauses, facts partitioned by their date."""
+    columns = []
+    for f in contract.schema.fields:
+        clause = f"`{f.name}` {f.dataType.simpleString()}"
+        if f.name in contract.not_null:
+            clause += " NOT NULL"
+        if f.name in contract.defaults:
+            value = contract.defaults[f.name]
+            clause += " DEFAULT " + SQL_DEFAULTS.get(type(value), str)(value)
+        columns.append(clause)
+    part = PARTITION_BY[contract.name] if partitioned else None
+    return (f"CREATE TABLE {name} (" + ", ".join(columns) + ") USING parquet"
+            + (f" PARTITIONED BY (`{part}`)" if part else "") + f" LOCATION '{location}'")
+
+
+class CatalogueTables:
+    """Tables of a schema of the session's catalogue, filled by INSERTs that may leave columns out.
+
+    Use as a context: the schema and its tables leave the catalogue at the end, the files stay under ``location``.
+    """
+
+    def __init__(self, spark: SparkSession, tables: Mapping[str, TableContract], location: str, partitioned: bool = True):
+        self.spark, self.tables, self.location, self.partitioned = spark, tables, location.rstrip("/"), partitioned
+        self.schema = f"attrition_{uuid.uuid4().hex}"
+
+    def name(self, table: str) -> str:
+        return f"{self.schema}.{table}"
+
+    def __enter__(self) -> CatalogueTables:
+        self.spark.sql(f"CREATE SCHEMA {self.schema} LOCATION '{self.location}/schema'")
+        for table, contract in self.tables.items():
+            self.spark.sql(create_table_sql(self.name(table), contract, f"{self.location}/{table}", self.partitioned))
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.spark.sql(f"DROP SCHEMA {self.schema} CASCADE")
+
+    def insert(self, table: str, rows: DataFrame) -> None:
+        """Append ``rows``; columns that they lack take their DEFAULT (or null).  A null in a NOT NULL column fails
+        the insert, and nothing is written then."""
+        contract = self.tables[table]
+        needed = [c for c in contract.not_null if c in rows.columns]
+        checked = rows.withColumns({c: F.coalesce(c, F.raise_error(F.lit(f"null in {table}.{c}")).cast(rows.schema[c].dataType))
+                                    for c in needed})
+        missing = [c for c in contract.not_null if c not in rows.columns and c not in contract.defaults]
+        if missing:
+            raise ValueError(f"{table} needs {', '.join(missing)}")
+        columns = ", ".join(f"`{c}`" for c in rows.columns)
+        self.spark.sql(f"INSERT INTO {self.name(table)} ({columns}) SELECT {columns} FROM {{rows}}", rows=checked)
+
+    def stored(self, table: str) -> DataFrame:
+        """The rows of the files themselves, also after the catalogue has forgotten the table."""
+        contract = self.tables[table]
+        return self.spark.read.schema(contract.schema).parquet(f"{self.location}/{table}").select(*contract.columns)
+
+
+def catalogue_tables(spark: SparkSession, tables: Mapping[str, TableContract] | None = None, location: str | None = None,
+                     partitioned: bool = True) -> CatalogueTables:
+    """The six tables (or ``tables``) in a schema of their own, under the shared folder unless ``location`` is given."""
+    return CatalogueTables(spark, tables or contracts(), location or shared_dir(spark, "catalogue"), partitioned)
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
     """Expose the six tables as session temporary views under their own names.
 
