@@ -90,7 +90,7 @@ class _Block:
         counts = parts.per_doc.copy()
         places = np.zeros(0, np.int32)
         if len(parts.starts):
-            first, inverse = parts.distinct()
+            first, inverse, _ = parts.distinct()
             places = np.array([self.place(w) for w in parts.strings(first)], np.int32)[inverse]
         if single:
             at = sorted(single)

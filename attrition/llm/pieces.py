@@ -76,13 +76,13 @@ class Split:
         starts = self.starts[which]
         return [self.text[a:b] for a, b in zip(starts.tolist(), (starts + self.lengths[which]).tolist(), strict=True)]
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """(place of one example of each distinct piece, number of the distinct piece of every piece).
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of one example of each distinct piece, number of the distinct piece of every piece, their hashes).
 
         Pieces are sorted by a hash, the sum of their mixed letters and places, and then compared letter by letter.
         """
         if not len(self.starts):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U64)
         first = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
         lengths, starts = self.lengths.astype(np.int32), self.starts.astype(np.int32)
         place = np.arange(int(self.lengths.sum()), dtype=np.int32)
@@ -93,13 +93,14 @@ class Split:
         values *= MIX_1
         values ^= values >> U64(29)
         hashes = mix(np.add.reduceat(values, first) + self.lengths.astype(U64))
-        _, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        values, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         lead = example[inverse]
         if (lengths[lead] == lengths).all() and (self.points[place + np.repeat(starts[lead], lengths)] == own).all():
-            return example, inverse
+            return example, inverse, values
         numbers: dict[str, int] = {}      # two different pieces with one hash
         inverse = np.array([numbers.setdefault(w, len(numbers)) for w in self.strings()], np.int64)
-        return np.unique(inverse, return_index=True)[1], inverse
+        example = np.unique(inverse, return_index=True)[1]
+        return example, inverse, hashes[example]
 
 
 def _contractions(begin: np.ndarray, cp: np.ndarray, run: np.ndarray, run_end: np.ndarray, run_kind: np.ndarray,
@@ -177,12 +178,30 @@ def odd_words(text: str) -> bool:
                                    or odd_text(text))
 
 
+class _Column:
+    """An array that grows at its end without copying all of it each time."""
+
+    def __init__(self, values: np.ndarray):
+        self.store, self.size = values, len(values)
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.size + len(values) > len(self.store):
+            self.store = np.concatenate([self.values, np.empty(self.size + len(values), self.store.dtype)])
+        self.store[self.size:self.size + len(values)] = values
+        self.size += len(values)
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.store[:self.size]
+
+
 class PieceEncoder:
     """Token ids of texts, encoding each distinct pre-token once.
 
     ``encode_words`` turns pre-tokens into lists of ids and ``encode_whole`` a text that ``odd`` names.
-    What is known is kept between calls up to ``max_known`` pre-tokens; beyond, only those of the
-    current texts stay (speed only).
+    What is known is kept between calls up to ``max_known`` pre-tokens; beyond, those that came up in one
+    call only are forgotten, and half of the rest where they are too many (speed only).  A hash finds a known
+    pre-token, its letters decide: one that shares its hash with another is worked out each time.
     """
 
     def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], encode_whole: Callable[[str], list[int]],
@@ -190,42 +209,74 @@ class PieceEncoder:
                  max_known: int = 500_000):
         self.encode_words, self.encode_whole, self.odd, self.cut = encode_words, encode_whole, odd, cut
         self.max_known = max_known
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(0, np.int32)
-        self.offsets = np.zeros(1, np.int64)
-
-    def _forget_all_but(self, words: list[str]) -> None:
-        kept = [w for w in words if w in self.known]
-        entry = np.fromiter(map(self.known.__getitem__, kept), np.int64, len(kept))
-        sizes = self.offsets[entry + 1] - self.offsets[entry]
-        self.flat = self.flat[spans_index(self.offsets[entry], sizes)]
-        self.offsets = np.append(0, np.cumsum(sizes))
-        self.known = dict(zip(kept, range(len(kept)), strict=True))
-
-    def _entries(self, words: list[str]) -> np.ndarray:
-        """Number of each distinct word among the known ones; new ones are learnt."""
+        self.known: dict[int, int] = {}         # hash -> number
+        self.keys = _Column(np.zeros(0, U64))   # by number: hash, letters, ids, and the calls that had the pre-token
+        self.letters, self.letter_ends = _Column(np.zeros(0, np.uint32)), _Column(np.zeros(1, np.int64))
+        self.flat, self.offsets = _Column(np.zeros(0, np.int32)), _Column(np.zeros(1, np.int64))
+        self.calls = _Column(np.zeros(0, np.int32))
+
+    def _forget(self) -> None:
+        calls = self.calls.values
+        kept = np.flatnonzero(calls > 1)
+        if len(kept) > self.max_known // 2:
+            kept = np.sort(kept[np.argpartition(calls[kept], len(kept) // 2)[len(kept) // 2:]])
+        for data, ends in ((self.letters, self.letter_ends), (self.flat, self.offsets)):
+            bounds = ends.values
+            sizes = bounds[kept + 1] - bounds[kept]
+            data.__init__(data.values[spans_index(bounds[kept], sizes)])
+            ends.__init__(np.append(0, np.cumsum(sizes)))
+        self.keys = _Column(self.keys.values[kept])
+        self.calls = _Column(np.ones(len(kept), np.int32))
+        self.known = {}
+        for n, key in enumerate(self.keys.values.tolist()):
+            self.known.setdefault(key, n)
+
+    def _learn(self, parts: Split, which: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """New numbers of the pieces ``which`` with their ids."""
+        first = self.keys.size
+        ids = self.encode_words(parts.strings(which))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.flat.extend(np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())))
+        self.offsets.extend(self.offsets.values[-1] + np.cumsum(sizes))
+        self.letters.extend(parts.points[spans_index(parts.starts[which], parts.lengths[which])])
+        self.letter_ends.extend(self.letter_ends.values[-1] + np.cumsum(parts.lengths[which]))
+        self.keys.extend(keys)
+        self.calls.extend(np.zeros(len(ids), np.int32))
+        return np.arange(first, first + len(ids))
+
+    def _entries(self, parts: Split, example: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Number of each distinct piece among the known ones; new ones are learnt."""
         if len(self.known) > self.max_known:
-            self._forget_all_but(words)
-        found = list(map(self.known.get, words))
-        new = [k for k, entry in enumerate(found) if entry is None]
-        if new:
-            ids = self.encode_words([words[k] for k in new])
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            first = len(self.offsets) - 1
-            for entry, k in enumerate(new, first):
-                self.known[words[k]] = found[k] = entry
-            self.offsets = np.append(self.offsets, self.offsets[-1] + np.cumsum(sizes))
-            self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())))
-        return np.array(found, np.int64)
+            self._forget()
+        found = np.fromiter(map(lambda k: self.known.get(k, -1), keys.tolist()), np.int64, len(keys))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            found[new] = self._learn(parts, example[new], keys[new])
+            for key, number in zip(keys[new].tolist(), found[new].tolist(), strict=True):
+                self.known.setdefault(key, number)
+        # letter by letter against what the hash has found
+        lengths, bounds = parts.lengths[example], self.letter_ends.values
+        same = bounds[found + 1] - bounds[found] == lengths
+        at = np.flatnonzero(same)
+        own = parts.points[spans_index(parts.starts[example[at]], lengths[at])]
+        equal = own == self.letters.values[spans_index(bounds[found[at]], lengths[at])]
+        if len(at):
+            same[at] = np.logical_and.reduceat(equal, np.cumsum(lengths[at]) - lengths[at])
+        wrong = np.flatnonzero(~same)
+        if len(wrong):
+            found[wrong] = self._learn(parts, example[wrong], keys[wrong])
+        self.calls.values[found] += 1
+        return found
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts = self.cut(texts)
         if not len(parts.starts):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
-        example, inverse = parts.distinct()
-        entry = self._entries(parts.strings(example))[inverse]
-        sizes = self.offsets[entry + 1] - self.offsets[entry]
-        ids = self.flat[spans_index(self.offsets[entry], sizes)]
+        example, inverse, keys = parts.distinct()
+        entry = self._entries(parts, example, keys)[inverse]
+        bounds = self.offsets.values
+        sizes = bounds[entry + 1] - bounds[entry]
+        ids = self.flat.values[spans_index(bounds[entry], sizes)]
         total = np.append(0, np.cumsum(sizes))
         bounds = np.append(0, np.cumsum(parts.per_doc))
         return ids, np.diff(total[bounds])

@@ -21,6 +21,7 @@ _ORACLE: dict[str, str] = {}
 RANKS = "byte_bpe_50k.tiktoken"
 MODEL = "byte_bpe_50k.json"
 WORD_MODEL = "word_bpe_49k.json"
+END = 50257     # beyond the vocabulary, so no text holds it
 
 
 def register(fn):
@@ -67,8 +68,9 @@ def op10_repair(spark, sf_dir):
 @register
 def op4_token_counts(spark, sf_dir):
     """Flat token files of all documents, scanned for the end id; counts by document."""
-    blocks, manifest = token_counts.write_flat(_documents(spark, sf_dir), public_tokenizers.path(MODEL))
-    return token_counts.count_tokens(blocks).join(manifest, ["file", "doc"]).select(
+    path = public_tokenizers.path(MODEL)
+    blocks, manifest = token_counts.write_flat(_documents(spark, sf_dir), path, end_id=END)
+    return token_counts.count_tokens(blocks, END, token_counts.id_bytes(path, END)).join(manifest, ["file", "doc"]).select(
         "doc_id", "file", "doc", "start", "n_tokens")
 
 

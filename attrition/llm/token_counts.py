@@ -1,6 +1,6 @@
 """Token counts of documents in flat, unindexed token files.
 
-A flat file is a run of 16-bit token ids with an end-of-document id after each
+A flat file is a run of token ids, 16 or 32 bits wide as the vocabulary needs, with an end-of-document id after each
 document and no index, cut into blocks of fixed size that ignore document
 bounds.  Every block is searched for the end id on its own (vectorised); the
 ends before a block and the last end before it come from a prefix scan over
@@ -31,7 +31,15 @@ RUN = 1024      # blocks scanned together in the first step of the prefix scan
 FLAT = "file int, block bigint, tokens binary, ids array<bigint>, first_doc bigint"
 
 
-def _flat_blocks(tokenizer_path: str, end_id: int, block_tokens: int):
+def id_bytes(tokenizer_path: str, end_id: int) -> int:
+    """Bytes that hold every id of the file and the end id: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values()
+    return 2 if max(end_id, *ids) < 1 << 16 else 4
+
+
+def _flat_blocks(tokenizer_path: str, end_id: int, block_tokens: int, width: int):
     schema = pa.schema([("file", pa.int32()), ("block", pa.int64()), ("tokens", pa.binary()),
                         ("ids", pa.list_(pa.int64())), ("first_doc", pa.int64())])
 
@@ -40,10 +48,10 @@ def _flat_blocks(tokenizer_path: str, end_id: int, block_tokens: int):
 
         file, block, doc = TaskContext.get().partitionId(), 0, 0
         encoder = worker_encoder(tokenizer_path)
-        rest = np.zeros(0, np.uint16)
+        rest = np.zeros(0, f"<u{width}")
         for ids, texts in text_chunks(batches, CHUNK_CHARS):
             flat, n = encoder.encode(texts)
-            rest = np.append(rest, np.insert(flat, np.cumsum(n), end_id).astype("<u2"))
+            rest = np.append(rest, np.insert(flat, np.cumsum(n), end_id).astype(rest.dtype))
             full = len(rest) // block_tokens
             rows = [{"file": file, "block": block + k, "tokens": rest[k * block_tokens:(k + 1) * block_tokens].tobytes(),
                      "ids": None, "first_doc": None} for k in range(full)]
@@ -58,20 +66,23 @@ def _flat_blocks(tokenizer_path: str, end_id: int, block_tokens: int):
 
 def write_flat(df: DataFrame, tokenizer_path: str, end_id: int = 50256, id_col: str = "doc_id",
                text_col: str = "text", block_tokens: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
-    """(blocks: file, block, tokens; manifest: file, doc, id) of a flat token file per scan task."""
+    """(blocks: file, block, tokens; manifest: file, doc, id) of a flat token file per scan task.
+
+    Ids are :func:`id_bytes` wide.
+    """
     rows = stored(id_and_text(df, id_col, text_col).mapInArrow(
-        _flat_blocks(tokenizer_path, end_id, block_tokens), FLAT), "flat_tokens")
+        _flat_blocks(tokenizer_path, end_id, block_tokens, id_bytes(tokenizer_path, end_id)), FLAT), "flat_tokens")
     blocks = rows.filter(F.col("block").isNotNull()).select("file", "block", "tokens")
     manifest = rows.filter(F.col("block").isNull()).select("file", "first_doc", F.posexplode("ids").alias("k", id_col)).select(
         "file", (F.col("first_doc") + F.col("k")).alias("doc"), id_col)
     return blocks, manifest
 
 
-def _find_ends(end_id: int):
+def _find_ends(end_id: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, block, blob in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                tokens = np.frombuffer(blob, "<u2")
+                tokens = np.frombuffer(blob, f"<u{width}")
                 ends = np.flatnonzero(tokens == end_id)
                 yield pa.RecordBatch.from_pylist(
                     [{"file": file, "block": block, "size": len(tokens), "ends": ends.tolist()}],
@@ -80,9 +91,14 @@ def _find_ends(end_id: int):
     return run
 
 
-def count_tokens(blocks: DataFrame, end_id: int = 50256) -> DataFrame:
-    """One row per document of the files: file, doc (from 0), start, n_tokens (end id included), ended."""
-    found = stored(blocks.mapInArrow(_find_ends(end_id), "file int, block bigint, size bigint, ends array<bigint>"),
+def count_tokens(blocks: DataFrame, end_id: int = 50256, width: int = 2) -> DataFrame:
+    """One row per document of the files: file, doc (from 0), start, n_tokens (end id included), ended.
+
+    ``width``: bytes of an id in the blocks (2 or 4).
+    """
+    if width not in (2, 4) or end_id >= 1 << 8 * width:
+        raise ValueError(f"end id {end_id} does not fit ids of {width} bytes")
+    found = stored(blocks.mapInArrow(_find_ends(end_id, width), "file int, block bigint, size bigint, ends array<bigint>"),
                    "ends").withColumn("run", F.floor(F.col("block") / RUN))
     small = found.select("file", "run", "block", "size", F.size("ends").cast("long").alias("n"),
                          F.try_element_at("ends", F.lit(-1)).alias("last"))
