@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from attrition import oracle
 from attrition.functions import membership_flag, parse_date, relative_change, safe_ratio, same_text
-from attrition.operators import activity, ml, quality, subscriptions
+from attrition.operators import activity, ingest, ml, quality, subscriptions
 from attrition.operators.windows import month_end_windows
 from attrition.plans import features as feat
 from attrition.plans import summary, training
@@ -393,6 +393,22 @@ def q_ingest_spelling(spark, sf):
     return quality.conform(feed, CONTRACTS["abonnements"]).select("abonnement_id", "statut")
 
 
+@register("ingest_quarantine", oracle.ingest_quarantine())
+def q_ingest_quarantine(spark, sf):
+    """A faulty feed written in one pass: valid rows, and rejected ones by reason."""
+    t = load_tables(spark, sf)
+    key = F.col("abonnement_id")
+    faulty = quality.conform(t["abonnements"], CONTRACTS["abonnements"]).drop("created_at").withColumns({
+        "client_id": F.when(key % 70 == 0, -F.col("client_id")).otherwise(F.col("client_id")),
+        "produit_id": F.when(key % 83 != 0, F.col("produit_id")),
+        "date_debut": F.when(key % 61 != 0, F.col("date_debut")),
+        "statut": F.when(key % 50 == 0, F.lit("inconnu")).otherwise(F.col("statut"))})
+    feed = faulty.unionByName(faulty.filter(key % 97 == 0))
+    done = ingest.write_checked(feed, CONTRACTS["abonnements"], files.shared_dir(spark, "ingest"), t)
+    found = done.rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+    return found.unionByName(done.valid.select(F.lit("valid").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 @register("ingest_insert", oracle.ingest_defaults())
 def q_ingest_insert(spark, sf):
     """The same feed through a catalogue table with DEFAULT clauses and an INSERT that names four columns."""
