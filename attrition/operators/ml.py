@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from attrition.operators.ranking import ordered_position
 from attrition.session import cut_lineage
 from attrition.sources.schema import NON_FEATURE_COLUMNS, TARGET
 
@@ -80,18 +81,14 @@ def category_vocab(frame: DataFrame, categorical: tuple[str, ...]) -> DataFrame:
     """Sorted distinct non-null values per categorical column with their index.
 
     One scan: every (column, value) pair is exploded, de-duplicated by a
-    partial aggregate, then ranked inside each column's own vocabulary -- a
-    window over the vocabulary, not the data.
+    partial aggregate, then numbered inside each column's own vocabulary by
+    range partitions (:mod:`attrition.operators.ranking`), so a column with millions
+    of values is no single task either.
     """
     vocab = _category_pairs(frame, categorical).select("feature", "category").distinct()
     pos = F.create_map(*[x for i, c in enumerate(categorical) for x in (F.lit(c), F.lit(i))])
-    w = Window.partitionBy("feature").orderBy("category")
-    return vocab.select(
-        "feature",
-        pos[F.col("feature")].alias("feature_pos"),
-        "category",
-        (F.row_number().over(w) - 1).alias("idx"),
-    )
+    numbered = ordered_position(vocab, ["category"], group=["feature"], name="idx")
+    return numbered.select("feature", pos[F.col("feature")].alias("feature_pos"), "category", F.col("idx").cast("int").alias("idx"))
 
 
 def one_hot_slots(frame: DataFrame, roles: FrameRoles) -> DataFrame:

@@ -12,7 +12,8 @@ client's next.  What is then ordered by client is bounded by the number of windo
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,58 +30,85 @@ LATEST = RECENT * BANDS
 SPREAD = 8      # tasks over which one client's usage of one segment is dealt
 
 
-def billing_asof(facturation: DataFrame, pieces: DataFrame, members: DataFrame) -> DataFrame:
-    """window_id, client_id, nb_factures, total_charges, nb_retards_paiement."""
-    own = with_segment(facturation.select("client_id", "date_facture", "montant", "paye_a_temps"), "date_facture", pieces)
-    sums = own.groupBy("client_id", "segment").agg(
+# Each theme in two steps: sums of facts by (client, segment), and sums of these by whatever holds the segments.
+def billing_sums(rows: DataFrame) -> DataFrame:
+    """client_id, segment, n, charged, late of invoices with their segment."""
+    return rows.groupBy("client_id", "segment").agg(
         F.count(F.lit(1)).alias("n"), F.sum("montant").alias("charged"), F.count_if(F.col("paye_a_temps") == 0).alias("late"))
-    return to_windows(sums, members).groupBy("window_id", "client_id").agg(
+
+
+def billing_totals(sums: DataFrame) -> DataFrame:
+    """window_id, client_id, nb_factures, total_charges, nb_retards_paiement."""
+    return sums.groupBy("window_id", "client_id").agg(
         F.sum("n").alias("nb_factures"), F.sum("charged").cast("decimal(20,2)").alias("total_charges"),
         F.sum("late").alias("nb_retards_paiement"))
 
 
-def support_asof(interactions: DataFrame, pieces: DataFrame, members: DataFrame) -> DataFrame:
-    """window_id, client_id, nb_interactions_support, nb_contacts_resiliation, taux_resolution_satisfaisante."""
-    own = with_segment(interactions.select("client_id", "date_interaction", "theme", "resolution_satisfaisante"),
-                       "date_interaction", pieces)
-    sums = own.groupBy("client_id", "segment").agg(
+def support_sums(rows: DataFrame) -> DataFrame:
+    """client_id, segment, n, leaving, good, rated of contacts with their segment."""
+    return rows.groupBy("client_id", "segment").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(same_text(F.col("theme"), THEME_CANCELLATION)).alias("leaving"),
         F.sum(F.col("resolution_satisfaisante").cast("long")).alias("good"), F.count("resolution_satisfaisante").alias("rated"))
-    return to_windows(sums, members).groupBy("window_id", "client_id").agg(
+
+
+def support_totals(sums: DataFrame) -> DataFrame:
+    """window_id, client_id, nb_interactions_support, nb_contacts_resiliation, taux_resolution_satisfaisante."""
+    return sums.groupBy("window_id", "client_id").agg(
         F.sum("n").alias("nb_interactions_support"), F.sum("leaving").alias("nb_contacts_resiliation"),
         F.try_divide(F.sum("good").cast("double"), F.sum("rated")).alias("taux_resolution_satisfaisante"))
 
 
-def usage_asof(usage: DataFrame, pieces: DataFrame, members: DataFrame) -> DataFrame:
-    """window_id, client_id, connexions_3derniers_mois, connexions_3mois_avant, total_connexions_12_mois, total_volume_go_12_mois."""
-    own = with_segment(usage.filter(F.col("client_id").isNotNull()).select(
-        "client_id", "mois", "usage_id", "nb_connexions", "volume_data_go"), "mois", pieces).withColumn(
-        "_spread", F.pmod(F.xxhash64("usage_id"), F.lit(SPREAD)))
+def _merged_usage(sums: DataFrame, *by: str) -> DataFrame:
+    return sums.groupBy(*by).agg(
+        F.sum("connections").alias("connections"), F.sum("volume").alias("volume"),
+        F.slice(F.sort_array(F.flatten(F.collect_list("latest")), asc=False), 1, LATEST).alias("latest"))
+
+
+def usage_sums(rows: DataFrame) -> DataFrame:
+    """client_id, segment, connections, volume and the latest months (LATEST at most, newest first) of usage with its segment."""
+    spread = rows.filter(F.col("client_id").isNotNull()).withColumn("_spread", F.pmod(F.xxhash64("usage_id"), F.lit(SPREAD)))
     group = ["client_id", "segment", "_spread"]
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.col("mois").desc(), F.col("usage_id").desc()))
     month = F.struct("mois", "usage_id", "nb_connexions")
     # the list holds LATEST rows at most: collect_list leaves nulls out
-    sums = own.withColumn("_rank", rank).groupBy(*group).agg(
+    parts = spread.withColumn("_rank", rank).groupBy(*group).agg(
         F.sum("nb_connexions").alias("connections"), F.sum("volume_data_go").alias("volume"),
         F.collect_list(F.when(F.col("_rank") <= LATEST, month)).alias("latest"))
+    return _merged_usage(parts, "client_id", "segment")
 
-    def merged(df: DataFrame, *by: str) -> DataFrame:
-        return df.groupBy(*by).agg(
-            F.sum("connections").alias("connections"), F.sum("volume").alias("volume"),
-            F.slice(F.sort_array(F.flatten(F.collect_list("latest")), asc=False), 1, LATEST).alias("latest"))
 
+def usage_totals(sums: DataFrame) -> DataFrame:
+    """window_id, client_id, connexions_3derniers_mois, connexions_3mois_avant, total_connexions_12_mois, total_volume_go_12_mois."""
     def band(first: int):
         part = F.filter(F.slice("latest", first, RECENT), lambda m: m["nb_connexions"].isNotNull())
         total = F.aggregate(part, F.lit(0).cast("long"), lambda a, m: a + m["nb_connexions"])
         return F.when(F.size(part) > 0, total.cast("double") / F.size(part))
 
-    whole = merged(to_windows(merged(sums, "client_id", "segment"), members), "window_id", "client_id")
-    return whole.select(
+    return _merged_usage(sums, "window_id", "client_id").select(
         "window_id", "client_id", band(1).alias("connexions_3derniers_mois"),
         band(RECENT + 1).alias("connexions_3mois_avant"), F.col("connections").alias("total_connexions_12_mois"),
         F.col("volume").cast("decimal(20,2)").alias("total_volume_go_12_mois"))
 
 
+@dataclass(frozen=True)
+class Theme:
+    table: str
+    date: str
+    columns: tuple[str, ...]
+    sums: Callable[[DataFrame], DataFrame]
+    totals: Callable[[DataFrame], DataFrame]
+
+
+THEMES = {
+    "billing": Theme("facturation", "date_facture", ("client_id", "date_facture", "montant", "paye_a_temps"),
+                     billing_sums, billing_totals),
+    "support": Theme("interactions_support", "date_interaction",
+                     ("client_id", "date_interaction", "theme", "resolution_satisfaisante"), support_sums, support_totals),
+    "usage": Theme("usage_mensuel", "mois", ("client_id", "mois", "usage_id", "nb_connexions", "volume_data_go"),
+                   usage_sums, usage_totals),
+}
+
+
 def subscriptions_asof(abonnements: DataFrame, produits: DataFrame, windows: DataFrame) -> DataFrame:
     """window_id, start, ref, client_id and the columns of the latest subscription that began by ``ref``."""
     refs = windows.select("ref").distinct()
@@ -115,12 +143,16 @@ def features_asof(tables: Mapping[str, DataFrame], windows: DataFrame) -> DataFr
     windows = cut_lineage(windows.select("window_id", "start", "ref"))      # read by every fact; as many rows as windows
     pieces = cut_lineage(segments(windows))
     members = cut_lineage(segment_windows(windows, pieces))
-    keys = ["window_id", "client_id"]
-    subs = subscriptions_asof(tables["abonnements"], tables["produits"], windows)
-    joined = (tables["clients"].select(*CLIENT_COLUMNS).join(subs, "client_id")
-              .join(billing_asof(tables["facturation"], pieces, members), keys, "left")
-              .join(support_asof(tables["interactions_support"], pieces, members), keys, "left")
-              .join(usage_asof(tables["usage_mensuel"], pieces, members), keys, "left"))
+    sums = {name: t.sums(with_segment(tables[t.table].select(*t.columns), t.date, pieces)) for name, t in THEMES.items()}
+    return assembled(tables, windows, members, sums)
+
+
+def assembled(tables: Mapping[str, DataFrame], windows: DataFrame, members: DataFrame, sums: Mapping[str, DataFrame]) -> DataFrame:
+    """The feature rows of every window from the sums of each theme by (client, segment) and the windows' segments."""
+    joined = tables["clients"].select(*CLIENT_COLUMNS).join(
+        subscriptions_asof(tables["abonnements"], tables["produits"], windows), "client_id")
+    for name, theme in THEMES.items():
+        joined = joined.join(theme.totals(to_windows(sums[name], members)), ["window_id", "client_id"], "left")
     zero = F.lit(0).cast("decimal(20,2)")
     out = joined.select(
         "window_id", "ref", *CLIENT_COLUMNS,

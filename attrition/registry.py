@@ -8,6 +8,7 @@ section 2.  Each has an oracle text; that of the fitted model makes the same New
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 from attrition import oracle
 from attrition.functions import membership_flag, parse_date, relative_change, safe_ratio, same_text
 from attrition.operators import activity, ingest, ml, quality, subscriptions
-from attrition.operators.windows import month_end_windows
+from attrition.operators.windows import month_end_windows, reporting_windows
 from attrition.plans import features as feat
-from attrition.plans import summary, training
+from attrition.plans import refresh, summary, training
 from attrition.plans.features_asof import features_asof
 from attrition.plans.features_sql import features_sql
 from attrition.session import cut_lineage
@@ -85,6 +86,19 @@ def q_features_asof(spark, sf):
     return features_asof(load_tables(spark, sf), month_end_windows(spark, REF, oracle.ASOF_WINDOWS))
 
 
+@register("features_incremental", oracle.features_export())
+def q_features_incremental(spark, sf):
+    """The export features from a monthly state that was made for ten months and then for two more."""
+    t = load_tables(spark, sf)
+    path = files.shared_dir(spark, "state")
+    refresh.update_months(t, path, START, dt.date(REF.year, 10, 31))
+    for month in (11, 12):
+        end = dt.date(REF.year, 11, 30) if month == 11 else REF
+        refresh.update_months(t, path, dt.date(REF.year, month, 1), end)
+    windows = reporting_windows(spark, [(0, START, REF)])
+    return refresh.features_from_state(refresh.load_state(spark, path), t, windows).drop("window_id", "ref")
+
+
 @register("features_script_variant", oracle.features_script_variant())
 def q_features_script_variant(spark, sf):
     t = load_tables(spark, sf)

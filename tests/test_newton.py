@@ -91,3 +91,16 @@ def test_separable_classes_converge(spark):
     roles = ml.column_roles(frame, drop=(ml.KEY, ml.LABEL))
     found = newton.fit(frame, roles, c=1e-6)
     assert found.steps < newton.MAX_STEPS and found.coefficients[0] > 0
+
+
+def test_vocabulary_of_many_categories(spark):
+    """A column of 200,000 values: numbered by range partitions, the same places as one sort gives."""
+    frame = spark.range(200_000).select(
+        F.col("id").alias("client_id"), F.md5(F.col("id").cast("string")).alias("city"),
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b").alias("kind"))
+    vocab = ml.category_vocab(frame, ("kind", "city"))
+    assert "row_number" not in vocab._jdf.queryExecution().executedPlan().toString()
+    city = vocab.filter("feature = 'city'").orderBy("idx").select("category", "idx").toPandas()
+    assert city["idx"].tolist() == list(range(200_000)) and city["category"].is_monotonic_increasing
+    slots = ml.one_hot_slots(frame, ml.FrameRoles((), ("kind", "city")))
+    assert slots.count() == 200_000 + 133_334 and slots.agg(F.max("slot")).first()[0] == 200_001
