@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attrition.functions import calendar_months, flag, months_30day, same_text
+from attrition.session import cut_lineage
 from attrition.sources.schema import STATUS_CANCELLED
 
 def latest_first():
@@ -51,6 +52,26 @@ def latest_subscription(
     return ranked
 
 
+def latest_rank_first(abonnements: DataFrame, produits: DataFrame, ref: dt.date) -> DataFrame:
+    """Same pick as ``latest_subscription``, with the product looked up after ranking.
+
+    Every client's newest subscription is ranked first (one row per client and map task moves) and only these
+    rows meet ``produits``.  The rule drops subscriptions of unknown products, so clients whose
+    newest one has none are an exception: their subscriptions alone, found by a semi join with
+    those clients, take the other order.  For a ``produits`` too large to broadcast this moves one row per
+    client by product instead of every subscription, for a second scan of the subscriptions and a checkpoint.
+    """
+    subs = abonnements.filter(F.col("date_debut") <= F.lit(ref))
+    w = Window.partitionBy("client_id").orderBy(*latest_first())
+    top = subs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    found = product_lookup(produits).withColumn("_known", F.lit(True))
+    # materialised: read twice, and its size decides how the exceptions meet the subscriptions
+    picked = cut_lineage(top.join(found, "produit_id", "left"))
+    unknown = picked.filter(F.col("_known").isNull()).select(F.col("client_id").alias("_client"))
+    rest = subs.join(unknown, F.col("client_id").eqNullSafe(F.col("_client")), "left_semi")
+    return picked.filter("_known").drop("_known").unionByName(latest_subscription(rest, produits, ref))
+
+
 def latest_by_maxby(abonnements: DataFrame, produits: DataFrame, ref: dt.date) -> DataFrame:
     """Same pick as ``latest_subscription`` written as one ``max_by`` aggregate.
 

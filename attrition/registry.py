@@ -123,6 +123,14 @@ LATEST_COLS = ("client_id", "abonnement_id", "produit_id", "date_debut", "date_f
                "type_contrat", "statut", "categorie_produit")
 
 
+@register("latest_rank_first", oracle.latest_rank_first())
+def q_latest_rank_first(spark, sf):
+    """Latest subscription where every fifth product is unknown: ranked first, looked up later."""
+    t = load_tables(spark, sf)
+    some = t["produits"].filter(F.col("produit_id") % 5 != 0)
+    return subscriptions.latest_rank_first(t["abonnements"], some, REF).select(*LATEST_COLS)
+
+
 @register("latest_subscription", oracle.latest_subscription())
 def q_latest_subscription(spark, sf):
     t = load_tables(spark, sf)
