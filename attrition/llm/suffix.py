@@ -348,7 +348,8 @@ def repeated_spans(df: DataFrame, length: int = 400, gram: int = 48, id_col: str
     rows = id_and_text(df, id_col, text_col).filter(F.octet_length("_text") >= length)
     texts = stored_by_key(rows.groupBy(text_key(F.col("_text")).alias("key")).agg(
         F.first("_text").alias("text"), F.count(F.lit(1)).alias("copies")), "texts", "key", tasks)
-    contexts = texts.select("key", "copies", "text").mapInArrow(trimmed(_anchors(length, gram)), ANCHOR)
+    # read twice: which anchors occur twice, then their contexts
+    contexts = stored(texts.select("key", "copies", "text").mapInArrow(trimmed(_anchors(length, gram)), ANCHOR), "anchors")
     # written, so that the join reads two plain shuffles and a hot anchor can be split
     common = stored(contexts.groupBy("g").agg(F.sum("copies").alias("_w")).filter("_w > 1").select("g"), "common")
     places = stored(contexts.join(common, "g"), "contexts")
