@@ -1,10 +1,10 @@
 """Token-id shards compressed by a Re-Pair grammar.
 
 Documents are dealt into ranges of ascending id; each range writes its tokens
-as segments.  Inside a segment, rounds replace frequent pairs of neighbouring
-ids by new symbols (many pairs a round, left to right, never overlapping).  A
-segment keeps its rules and every symbol's expansion length, so that one
-document, or any range of tokens, is decoded without the rest.
+as segments.  Inside a segment, rounds replace pairs of neighbouring ids by
+new symbols, the more frequent of two that overlap first, until no pair occurs
+twice.  A segment keeps its rules and every symbol's expansion length, so that
+one document, or any range of tokens, is decoded without the rest.
 
 File format (Parquet, one row per segment, ascending in shard and segment):
 ``shard``, ``segment``, ``doc_ids``, ``doc_tokens`` (ids per document, end id
@@ -27,13 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from attrition.llm.common import crc32_u32, id_and_text, pack_planes, shuffle_partitions, text_chunks, unpack_planes
+from attrition.llm.common import crc32_u32, id_and_text, pack_planes, shuffle_partitions, spans_index, text_chunks, unpack_planes
 from attrition.llm.pieces import worker_encoder
 from attrition.sources.files import shared_dir
 
 CHUNK_CHARS = 1 << 19
-ROUNDS, PAIRS_PER_ROUND, LEAST_COUNT = 4, 2048, 8
-CELLS = 1 << 20     # counters of pair hashes; one pair of a cell is a candidate in a round
+SPELT = 64          # ids of a rule that are written out whole when a segment is read
 
 SEGMENT = ("shard int, segment int, doc_ids array<bigint>, doc_tokens array<bigint>, n_ids bigint, rules binary, "
            "expansions binary, rounds array<int>, symbols binary")
@@ -43,66 +42,117 @@ SEGMENT_ARROW = pa.schema([
     ("rounds", pa.list_(pa.int32())), ("symbols", pa.binary())])
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, pairs_per_round: int = PAIRS_PER_ROUND) -> dict:
-    """Grammar of a sequence of ids: n_ids, rules (n x 2), expansions, rounds, symbols."""
-    symbols = np.asarray(ids, np.int64)
-    n_ids = int(symbols.max()) + 1 if len(symbols) else 0
-    rules, sizes, marks, next_symbol = [np.zeros((0, 2), np.int64)], np.ones(n_ids, np.int64), [], n_ids
-    for _ in range(rounds):
-        if len(symbols) < 2:
+def _runs(pair: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in the order of their pairs, where each pair begins in that order, how many it has."""
+    at_bits = max(len(pair) - 1, 1).bit_length()
+    if 2 * bits + at_bits <= 64:    # pair and place sorted as one number
+        both = pair.astype(np.uint64) << np.uint64(at_bits)
+        both |= np.arange(len(pair), dtype=np.uint64)
+        both.sort()
+        order = (both & np.uint64((1 << at_bits) - 1)).view(np.int64)
+        both >>= np.uint64(at_bits)
+    else:
+        order = np.argsort(pair, kind="stable")
+        both = pair[order]
+    first = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+    return order, first, np.diff(np.append(first, len(pair)))
+
+
+def compress(ids: np.ndarray) -> dict:
+    """Grammar of a sequence of ids: n_ids, rules (n x 2), expansions, rounds, symbols.
+
+    At the end no pair of neighbouring symbols occurs twice without overlap.  A round counts every such pair exactly
+    and replaces it wherever it is more frequent than the pairs that overlap it there, if it has two such places.  Pairs
+    that occur once leave the count until one of their symbols changes: only a rule makes further pairs.
+    """
+    symbols = np.asarray(ids, np.int32)     # a segment has fewer symbols than 2**31
+    n_ids = int(symbols.max(initial=-1)) + 1
+    rules, marks, next_symbol = [np.zeros((0, 2), np.int64)], [], n_ids
+    open_ = np.arange(len(symbols) - 1)     # places whose pair may occur twice, ascending
+    while len(open_):
+        left, right = symbols[open_], symbols[open_ + 1]
+        touching = np.diff(open_) == 1      # the next open pair overlaps this one
+        # of a run of one symbol, every other pair from its left end
+        doubled = left == right
+        chain = np.flatnonzero(touching & doubled[1:] & doubled[:-1]) + 1
+        step = np.arange(len(chain))
+        skipped = chain[(step - np.maximum.accumulate(np.where(np.diff(chain, prepend=-1) > 1, step, 0))) % 2 == 0]
+        bits = max(next_symbol, len(skipped)).bit_length()
+        pair = left.astype(np.int64) << bits
+        pair |= right
+        pair[skipped] = (1 << bits) - 1 << bits | np.arange(len(skipped))   # no symbol's number: occurs once
+        order, first, count = _runs(pair, bits)
+        frequent = np.flatnonzero(count > 1)
+        if not len(frequent):
             break
-        pair = symbols[:-1] << 32
-        pair |= symbols[1:]
-        cell = pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        cell >>= np.uint64(44)
-        cell = cell.view(np.int64)
-        owner = np.full(CELLS, -1, np.int64)
-        owner[cell] = pair
-        places = np.flatnonzero(owner[cell] == pair)    # of the pair that its cell stands for
-        cell = cell[places]
-        count = np.bincount(cell, minlength=CELLS)
-        top = np.flatnonzero(count >= LEAST_COUNT)
-        if len(top) > pairs_per_round:
-            top = np.sort(top[np.argpartition(count[top], -pairs_per_round)[-pairs_per_round:]])
-        if not len(top):
-            break
-        number = np.full(CELLS, -1, np.int32)
-        number[top] = np.arange(len(top), dtype=np.int32)
-        cell = number[cell]
-        hit = cell >= 0
-        at, rule = places[hit], cell[hit]
-        # chosen pairs that overlap: take every other one of a chain, from its left end
-        chain_start = np.append(True, np.diff(at) > 1)
-        first = np.maximum.accumulate(np.where(chain_start, np.arange(len(at)), 0))
-        taken = (np.arange(len(at)) - first) % 2 == 0
-        at = at[taken]
-        symbols = symbols.copy() if symbols is ids else symbols
-        symbols[at] = next_symbol + rule[taken]
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols = symbols[keep]
-        made = np.stack([owner[top] >> 32, owner[top] & 0xFFFFFFFF], 1)
+        # every pair's rank by frequency, from 1; 0: occurs once, or is not counted
+        of_run = np.zeros(len(first), np.int32)
+        of_run[frequent[np.argsort(count[frequent], kind="stable")]] = np.arange(1, len(frequent) + 1, dtype=np.int32)
+        rank = np.empty(len(open_), np.int32)
+        rank[order] = np.repeat(of_run, count)
+        top = rank > 0
+        still = top.copy()
+        still[skipped] = True
+        above = rank[1:] > rank[:-1]
+        top[:-1] &= ~(touching & above)
+        top[1:] &= ~touching | above
+        places = np.flatnonzero(top)
+        rule = rank[places]
+        used = np.bincount(rule, minlength=len(frequent) + 1) > 1
+        rule = np.where(used, np.cumsum(used) - 1, -1)[rule]
+        places, rule = places[rule >= 0], rule[rule >= 0]
+        made = np.empty((int(used.sum()), 2), np.int64)
+        made[rule, 0], made[rule, 1] = left[places], right[places]
+        start = open_[places]
+        symbols = symbols if len(rules) > 1 else symbols.copy()     # the caller's ids stay
+        symbols[start] = next_symbol + rule
         rules.append(made)
-        sizes = np.append(sizes, sizes[made[:, 0]] + sizes[made[:, 1]])
-        next_symbol += len(top)
+        next_symbol += len(made)
         marks.append(next_symbol - n_ids)
-    return {"n_ids": n_ids, "rules": np.concatenate(rules), "expansions": sizes[n_ids:], "rounds": marks,
+        # still open: pairs that occur twice or were not counted, and those beside a new symbol
+        keep, near = np.ones(len(symbols), bool), np.zeros(len(symbols), bool)
+        keep[start + 1] = False
+        near[open_] = still
+        near[start] = near[np.maximum(start - 1, 0)] = True
+        symbols, open_ = symbols[keep], np.flatnonzero(near[keep])
+        if len(open_) and open_[-1] == len(symbols) - 1:
+            open_ = open_[:-1]
+    made = np.concatenate(rules)
+    return {"n_ids": n_ids, "rules": made, "expansions": _sizes(n_ids, made, marks)[n_ids:], "rounds": marks,
             "symbols": symbols}
 
 
+def _sizes(n_ids: int, rules: np.ndarray, rounds: list[int]) -> np.ndarray:
+    """Ids that each symbol stands for: a rule holds symbols of earlier rounds only."""
+    sizes = np.ones(n_ids + len(rules), np.int64)
+    for low, high in zip([0, *rounds], rounds):
+        sizes[n_ids + low:n_ids + high] = sizes[rules[low:high, 0]] + sizes[rules[low:high, 1]]
+    return sizes
+
+
 def expand(symbols: np.ndarray, n_ids: int, rules: np.ndarray, rounds: list[int]) -> np.ndarray:
-    """Undo the rounds, last first: a rule holds symbols of earlier rounds only."""
-    symbols = np.asarray(symbols, np.int64)
-    for low in [*([0, *rounds][:-1][::-1] if rounds else [])]:
-        is_rule = symbols >= n_ids + low
-        width = is_rule + 1
-        place = np.cumsum(width) - width
-        out = np.empty(int(width.sum()), np.int64)
-        out[place[~is_rule]] = symbols[~is_rule]
-        pairs = rules[symbols[is_rule] - n_ids]
-        out[place[is_rule]], out[place[is_rule] + 1] = pairs[:, 0], pairs[:, 1]
-        symbols = out
-    return symbols
+    """The ids of ``symbols``: rules of up to ``SPELT`` ids are written out once, longer ones give way to their two sides."""
+    symbols, sizes = np.asarray(symbols, np.int64), _sizes(n_ids, rules, rounds)
+    short = np.flatnonzero(sizes <= SPELT)
+    start = np.zeros(len(sizes), np.int64)
+    start[short] = np.cumsum(sizes[short]) - sizes[short]
+    spelt = np.arange(int(sizes[short].sum()))      # the ids themselves come first
+    for low, high in zip([0, *rounds], rounds):
+        made = low + np.flatnonzero(sizes[n_ids + low:n_ids + high] <= SPELT)
+        if len(made):
+            sides = rules[made].ravel()
+            first, last = start[n_ids + made[0]], start[n_ids + made[-1]] + sizes[n_ids + made[-1]]
+            spelt[first:last] = spelt[spans_index(start[sides], sizes[sides])]
+    place, done = np.cumsum(sizes[symbols]) - sizes[symbols], []
+    while (long := sizes[symbols] > SPELT).any():
+        done.append((symbols[~long], place[~long]))
+        place = place[long]
+        left, right = rules[symbols[long] - n_ids].T
+        symbols, place = np.concatenate([left, right]), np.concatenate([place, place + sizes[left]])
+    if done:
+        symbols, place = (np.concatenate([x, *y]) for x, y in zip((symbols, place), zip(*done)))
+        symbols = symbols[np.argsort(place)]
+    return spelt[spans_index(start[symbols], sizes[symbols])]
 
 
 def read_range(segment: dict, start: int, stop: int) -> np.ndarray:

@@ -107,6 +107,26 @@ def test_repair_is_lossless_on_runs():
         assert (repair.expand(made["symbols"], made["n_ids"], made["rules"], made["rounds"]) == seq).all()
 
 
+def test_repair_leaves_no_pair_twice():
+    """Every pair is counted and replaced, however many there are and however rare they are."""
+    rng = np.random.default_rng(3)
+    pairs = np.stack([np.arange(3000), 3000 + rng.permutation(3000)], 1)     # more than a round once took
+    many = np.concatenate([pairs[rng.permutation(3000)].ravel() for _ in range(8)])
+    cases = [many, np.tile([5, 6, 7], 2), np.repeat([4, 9, 4], [7, 1, 5]), *(rng.integers(0, k, 400) for k in (2, 9, 60))]
+    for seq in cases:
+        made = repair.compress(seq)
+        assert (repair.expand(made["symbols"], made["n_ids"], made["rules"], made["rounds"]) == seq).all()
+        places: dict[tuple[int, int], list[int]] = {}
+        for k, pair in enumerate(zip(made["symbols"].tolist(), made["symbols"][1:].tolist())):
+            found = places.setdefault(pair, [])
+            if not found or k > found[-1] + 1:
+                found.append(k)
+        assert max(map(len, places.values()), default=0) < 2
+        sides = np.concatenate([made["rules"].ravel(), made["symbols"]])
+        assert (np.bincount(sides, minlength=made["n_ids"])[made["n_ids"]:] > 0).all()
+    assert len(repair.compress(many)["rules"]) >= 3000
+
+
 def test_token_counts_across_blocks(docs, empty, ids):
     blocks, manifest = token_counts.write_flat(docs, MODEL, block_tokens=50)
     rows = token_counts.count_tokens(blocks).join(manifest, ["file", "doc"]).collect()
