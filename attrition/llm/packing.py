@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from attrition.llm.common import crc32_u32, id_and_text, stored, text_chunks, trimmed
+from attrition.llm.common import crc32_u32, id_and_text, shuffle_partitions, stored_by_key, text_chunks, trimmed
 from attrition.llm.pieces import worker_encoder
 
 CHUNK_CHARS = 1 << 19
@@ -148,17 +148,21 @@ def pack(df: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int | N
     (little-endian unsigned 32-bit; null unless ``keep_ids``), sequence_id,
     offset.  Sequence ids run without a gap from 0.
     """
-    pieces = stored(id_and_text(df, id_col, text_col).mapInArrow(
-        trimmed(_cut(tokenizer_path, end_id, window, keep_ids)), PIECES), "pieces")
+    # its table lies by block, so only the counts move when they meet the pieces
+    pieces = stored_by_key(id_and_text(df, id_col, text_col).mapInArrow(
+        trimmed(_cut(tokenizer_path, end_id, window, keep_ids)), PIECES), "pieces", "block", shuffle_partitions(df.sparkSession))
     # pieces of a length in each block, and how many lie in blocks before it
     per_block = pieces.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n"))
     before = per_block.select("length", "block", (F.sum("n").over(
         W.partitionBy("length").orderBy("block")) - F.col("n")).alias("before"))
+    # one row per block, with at most ``window`` lengths
+    of_block = before.groupBy(F.col("block").alias("_block")).agg(F.map_from_entries(
+        F.collect_list(F.struct("length", "before"))).alias("before"))
     # one row per length: at most ``window`` rows
     histogram = {r["length"]: r["n"] for r in per_block.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = plan_windows(histogram, window)
-    ranked = pieces.join(before, ["length", "block"]).withColumn("rank", F.col("nth") + F.col("before")).select(
-        "_id", "start", "length", "doc_tokens", "ids_crc32", "ids", "rank")
+    ranked = pieces.join(of_block.hint("shuffle_hash"), F.col("block") == F.col("_block")).select(
+        "_id", "start", "length", "doc_tokens", "ids_crc32", "ids", (F.col("nth") + F.col("before")[F.col("length")]).alias("rank"))
     placed = ranked.mapInArrow(
         trimmed(_place(plan, 2, 6, ranked.columns)),
         "_id bigint, start bigint, length int, doc_tokens bigint, ids_crc32 bigint, ids binary, rank bigint, "

@@ -33,8 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import trimmed
-from attrition.sources.files import shared_dir
+from attrition.llm.common import discard, trimmed, written
 
 BLOCK = 4096
 SLACK = 1e-9        # bounds are floats: they rule out only with this relative margin
@@ -179,18 +178,6 @@ def _sum_totals(k: int, width: int):
     return run
 
 
-def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    path = shared_dir(df.sparkSession, "llm", name)
-    df.write.options(compression="zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def _discard(spark: SparkSession, path: str) -> None:
-    """Deletes a table that this module wrote and has read for the last time."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def _totals(blocks: DataFrame, k: int, dims: int) -> list[list[int]]:
     """Count, sums of components and sum of distances of each centroid: k * (dims + 2) numbers, whatever the input."""
     width = dims + 2
@@ -229,13 +216,13 @@ def cluster(df: DataFrame, k: int, rounds: int, dims: int, scale: int = 256, sal
     table = "cluster int, size bigint, inertia decimal(38,0), centroid array<bigint>"
     if not k:
         return spark.createDataFrame([], rows), spark.createDataFrame([], table)
-    blocks, path = _written(vectors.mapInArrow(trimmed(_blocks(dims)), BLOCKS), "vectors")
+    blocks, path = written(vectors.mapInArrow(trimmed(_blocks(dims)), BLOCKS), "vectors")
     moved = None
     for number in range(rounds + 1):
         last = number == rounds
         centres = Centres(points, moved)
-        found, new_path = _written(blocks.mapInArrow(trimmed(_round(centres, last)), BLOCKS), "assigned")
-        _discard(spark, path)
+        found, new_path = written(blocks.mapInArrow(trimmed(_round(centres, last)), BLOCKS), "assigned")
+        discard(spark, path)
         blocks, path = found, new_path
         totals = _totals(blocks, k, dims)
         if not last:

@@ -5,6 +5,8 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers
@@ -14,6 +16,7 @@ import tiktoken
 from attrition.llm import bpe, exact, jaccard, langid, packing, repair, sharding, simhash, suffix, token_counts
 from attrition.llm.common import in_blocks
 from attrition.llm.components import components
+from attrition.sources.files import shared_dir
 
 RANKS, MODEL = (public_tokenizers.path(f"byte_bpe_50k.{x}") for x in ("tiktoken", "json"))
 SCHEMA = "doc_id bigint, text string, key string, rank int, __shard int"
@@ -74,6 +77,27 @@ def test_packing_covers_every_id_once(docs, empty, ids):
     assert packing.pack(empty, MODEL).count() == 0
 
 
+def test_packing_moves_no_ids(docs):
+    """Between the stored pieces with their ids and the result there is no shuffle."""
+    plan = packing.pack(docs, MODEL, window=64)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    scan, = [k for k, line in enumerate(plan) if "FileScan" in line and "ids#" in line]
+    above, least = [], depth[scan]
+    for k in range(scan, -1, -1):
+        if depth[k] < least:
+            least = depth[k]
+            above.append(plan[k])
+    assert any("Join" in line for line in above) and not any("Exchange" in line for line in above)
+
+
+def test_suffix_anchors_leave_the_disk(docs, spark):
+    folder = Path(urlparse(shared_dir(spark, "llm", "anchors")).path).parent
+    before = set(folder.glob("*"))
+    rows = suffix.repeated_spans(docs, 60, gram=8)
+    assert folder.is_dir() and set(folder.glob("*")) == before
+    assert rows.filter("size(spans) > 0").count() > 0
+
+
 def test_window_filling_is_optimal():
     rng = random.Random(1)
     for _ in range(30):
