@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from attrition.operators.ranking import ordered_position
 from attrition.session import cut_lineage
+from attrition.sources.files import shared_dir
 from attrition.sources.schema import NON_FEATURE_COLUMNS, TARGET
 
 KEY = "client_id"
@@ -256,13 +257,19 @@ def feature_pipeline(roles: FrameRoles) -> Pipeline:
 def fit_model(train: DataFrame, roles: FrameRoles, c: float = C, max_iter: int = MAX_ITER) -> PipelineModel:
     """Fit the whole pipeline on the training rows only (no leakage).
 
-    A null in a numeric feature fails the fit with the column's name.
+    A null in a numeric feature fails the fit with the column's name.  The
+    model is written and read again: a fitted one holds its session in its
+    training summary, and tasks cannot take it along once the session has
+    observed a query (``Observation``).
     """
     weight, total_weight = weight_column(train)
     weighted = train.withColumns({"weight": weight} | {
         name: F.coalesce(name, F.raise_error(F.lit(f"null in numeric feature {name}")).cast("double"))
         for name in roles.numeric})
-    return build_pipeline(roles, reg_param=1.0 / (c * total_weight), max_iter=max_iter).fit(weighted)
+    fitted = build_pipeline(roles, reg_param=1.0 / (c * total_weight), max_iter=max_iter).fit(weighted)
+    path = shared_dir(train.sparkSession, "models")
+    fitted.write().overwrite().save(path)
+    return PipelineModel.load(path)
 
 
 def coefficients(model: PipelineModel, roles: FrameRoles, frame: DataFrame) -> DataFrame:

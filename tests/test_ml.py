@@ -2,6 +2,7 @@ import math
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from attrition.operators import ml
@@ -145,6 +146,16 @@ def test_null_numeric_fails_with_its_name(spark):
         ml.fit_model(train, ml.FrameRoles(("x",), ("cat",)))
 
 
+def test_predicts_in_a_session_that_observed_a_query(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    rows = [(i, float(i % 3 == 0), float(i), "ab"[i % 2]) for i in range(12)]
+    train = spark.createDataFrame(rows, "client_id long, label double, x double, cat string")
+    model = ml.fit_model(train, ml.FrameRoles(("x",), ("cat",)))
+    assert model.transform(train).select("probability").distinct().count() == 12
+
+
 def test_model_roundtrip_same_predictions(spark, trained):
     path = training.save_model(trained.model, shared_dir(spark, "models"))
     test = trained.split.filter("split = 'test'")
